@@ -1,0 +1,27 @@
+"""Every registered query against DuckDB on the same tables."""
+
+import pytest
+from compare import differences, duckdb_on
+
+import __spark_entry__ as entry
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return duckdb_on(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query_matches_duckdb(spark, connection, name):
+    frame = entry.queries()[name](spark, FOLDER)
+    assert differences(frame, connection, entry.oracle_sql()[name]) == ""
+
+
+def test_entry_returns_rows(spark):
+    assert entry.entry(spark).count() == 80
