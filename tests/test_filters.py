@@ -1,0 +1,50 @@
+import pytest
+from samples import fact_frame, line
+
+from tillroll.operators.filters import NO_FILTER, ReportFilter
+
+
+@pytest.fixture(scope="module")
+def fact(spark):
+    names = ["Red Mug", "red_mug", "100% wool", "back\\slash", "mug"]
+    return fact_frame(spark, [line(str(i), stock=f"X{i}", description=d) for i, d in enumerate(names)]).cache()
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("mug", ["0", "1", "4"]),
+        (" MUG ", ["0", "1", "4"]),
+        ("red_mug", ["0", "1"]),
+        ("r%g", ["0", "1"]),
+        ("100%", ["2"]),
+        ("\\", ["3"]),
+        ("k\\s", ["3"]),
+        ("x3", ["3"]),
+        ("nothing", []),
+        ("   ", ["0", "1", "2", "3", "4"]),
+        (None, ["0", "1", "2", "3", "4"]),
+    ],
+)
+def test_search(fact, text, found):
+    rows = fact.where(ReportFilter(search_query=text).predicate()).collect()
+    assert sorted(r.invoice_no for r in rows) == found
+
+
+@pytest.mark.parametrize("country", [None, "", "All"])
+def test_no_country_means_all(fact, country):
+    assert fact.where(ReportFilter(country=country).predicate()).count() == 5
+
+
+def test_country_is_exact(fact):
+    assert fact.where(ReportFilter(country="united kingdom").predicate()).count() == 0
+
+
+def test_no_filter_keeps_everything(fact):
+    assert fact.where(NO_FILTER.predicate()).count() == 5
+
+
+@pytest.mark.parametrize("day", ["2011-1-1x", "yesterday", "01/02/2011"])
+def test_dates_must_be_iso_days(day):
+    with pytest.raises(ValueError):
+        ReportFilter(start_date=day).predicate()

@@ -1,37 +1,35 @@
-"""The money and unit measures that every report shares."""
+"""The money and unit measures that every report shares.
 
-from pyspark.sql import Column, functions as F
-
-
-def _set(flag: str) -> Column:
-    return F.col(flag) == 1
+Which rows count towards a measure is stated as an SQL condition on the fact.
+"""
 
+from pyspark.sql import Column, functions as F
 
-KEPT = F.col("is_duplicate") == 0
-
-# Which rows count towards a measure.
-NORMAL_SALE = _set("is_normal_sale")
-CANCELLED = _set("is_cancelled")
-DUPLICATE = _set("is_duplicate")
-CANCELLED_KEPT = CANCELLED & KEPT
-BAD_DEBT = _set("is_negative_price") & KEPT
-OTHER_NEGATIVE_QUANTITY = _set("is_negative_quantity") & (F.col("is_cancelled") == 0) & KEPT
-ZERO_PRICE_KEPT = _set("is_zero_price") & (F.col("is_negative_quantity") == 0) & KEPT
+ALL_ROWS = "true"
+KEPT = "is_duplicate = 0"
+DUPLICATE = "is_duplicate = 1"
+NORMAL_SALE = "is_normal_sale = 1"
+CANCELLED = "is_cancelled = 1"
+CANCELLED_KEPT = "is_cancelled = 1 AND is_duplicate = 0"
+BAD_DEBT = "is_negative_price = 1 AND is_duplicate = 0"
+OTHER_NEGATIVE_QUANTITY = "is_negative_quantity = 1 AND is_cancelled = 0 AND is_duplicate = 0"
+ZERO_PRICE_KEPT = "is_zero_price = 1 AND is_negative_quantity = 0 AND is_duplicate = 0"
+GUEST_SALE = "is_normal_sale = 1 AND customer_id IS NULL"
 
 
-def units(rows: Column) -> Column:
+def units(rows: str) -> Column:
     """Quantity of the given rows, 0 elsewhere."""
-    return F.when(rows, F.col("quantity")).otherwise(0)
+    return F.expr(f"CASE WHEN {rows} THEN quantity ELSE 0 END")
 
 
-def revenue(rows: Column) -> Column:
+def revenue(rows: str) -> Column:
     """Line revenue of the given rows, 0 elsewhere."""
-    return F.when(rows, F.col("line_revenue")).otherwise(0)
+    return F.expr(f"CASE WHEN {rows} THEN line_revenue ELSE 0 END")
 
 
-def lines(rows: Column) -> Column:
+def lines(rows: str) -> Column:
     """1 for the given rows, 0 elsewhere."""
-    return F.when(rows, 1).otherwise(0)
+    return F.expr(f"CASE WHEN {rows} THEN 1 ELSE 0 END")
 
 
 def as_money(amount: Column) -> Column:

@@ -9,24 +9,24 @@ is spread over its invoices; the second step counts invoices.
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _per_group(sums: dict[str, Column], orders: dict[str, Column]) -> list[Column]:
+def _per_group(sums: dict[str, Column], orders: dict[str, str]) -> list[Column]:
     return [F.sum(value).alias(name) for name, value in sums.items()] + [
-        F.bool_or(rows).alias(name) for name, rows in orders.items()
+        F.bool_or(F.expr(rows)).alias(name) for name, rows in orders.items()
     ]
 
 
 def invoice_totals(
-    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, Column]
+    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, str]
 ) -> DataFrame:
-    """One row per key and invoice: the sums, and whether any line met each ``orders`` rule."""
+    """One row per key and invoice: the sums, and whether any line met each condition in ``orders``."""
     return fact.groupBy(*keys, "invoice_no").agg(*_per_group(sums, orders))
 
 
 def rollup(
-    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, Column]
+    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, str]
 ) -> DataFrame:
-    """One row per key: each of ``sums`` added up, and for each of ``orders``
-    the number of distinct invoices with a line that meets the rule."""
+    """One row per key: each of ``sums`` added up, and for each condition in
+    ``orders`` the number of distinct invoices with a line that meets it."""
     named = F.col("invoice_no").isNotNull()
     return (
         invoice_totals(fact, keys, sums, orders)
@@ -39,7 +39,7 @@ def rollup(
 
 
 def rollup_with_customers(
-    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, Column]
+    fact: DataFrame, keys: list[str], sums: dict[str, Column], orders: dict[str, str]
 ) -> DataFrame:
     """As ``rollup``, plus ``identified_customers``, the distinct customers.
 

@@ -46,8 +46,8 @@ def returns_and_cancellations(fact: DataFrame) -> DataFrame:
     for i, (_, rows, _) in enumerate(ANOMALIES):
         per_invoice += [
             F.sum(lines(rows)).alias(f"n{i}"),
-            F.sum(F.when(rows, F.col("quantity"))).alias(f"units{i}"),
-            F.sum(F.when(rows, F.col("line_revenue"))).alias(f"revenue{i}"),
+            F.sum(F.when(F.expr(rows), F.col("quantity"))).alias(f"units{i}"),
+            F.sum(F.when(F.expr(rows), F.col("line_revenue"))).alias(f"revenue{i}"),
         ]
         overall += [
             or_zero(F.sum(f"n{i}")).alias(f"n{i}"),
@@ -55,7 +55,7 @@ def returns_and_cancellations(fact: DataFrame) -> DataFrame:
             F.sum(f"units{i}").alias(f"units{i}"),
             as_money(F.sum(f"revenue{i}")).alias(f"revenue{i}"),
         ]
-    any_anomaly = CANCELLED_KEPT | OTHER_NEGATIVE_QUANTITY | BAD_DEBT | ZERO_PRICE_KEPT
+    any_anomaly = " OR ".join(f"({rows})" for _, rows, _ in ANOMALIES)
     totals = fact.where(any_anomaly).groupBy("invoice_no").agg(*per_invoice).agg(*overall)
     rows = [
         F.struct(

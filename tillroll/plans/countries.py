@@ -2,7 +2,16 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tillroll.operators.measures import CANCELLED_KEPT, KEPT, NORMAL_SALE, as_money, ratio, revenue, units
+from tillroll.operators.measures import (
+    CANCELLED_KEPT,
+    GUEST_SALE,
+    KEPT,
+    NORMAL_SALE,
+    as_money,
+    ratio,
+    revenue,
+    units,
+)
 from tillroll.operators.rollup import rollup_with_customers
 
 
@@ -19,7 +28,7 @@ def country_analysis(fact: DataFrame, limit: int | None = None) -> DataFrame:
         },
         orders={
             "sales_orders": NORMAL_SALE,
-            "guest_orders": NORMAL_SALE & F.col("customer_id").isNull(),
+            "guest_orders": GUEST_SALE,
         },
     )
     # One row per country reaches this window, never the fact.

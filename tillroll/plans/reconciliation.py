@@ -6,6 +6,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.operators.measures import (
+    ALL_ROWS,
     BAD_DEBT,
     CANCELLED,
     CANCELLED_KEPT,
@@ -19,7 +20,7 @@ from tillroll.operators.measures import (
 from tillroll.schema import FLAG_COLUMNS
 
 
-def _amounts(**rows: Column) -> list[Column]:
+def _amounts(**rows: str) -> list[Column]:
     """Sums of revenue rounded to pence, still exact; 0 over no rows."""
     zero = F.lit(0).cast("decimal(28,2)")
     return [F.coalesce(F.round(F.sum(revenue(r)), 2), zero).alias(name) for name, r in rows.items()]
@@ -49,7 +50,7 @@ def financial_reconciliation(fact: DataFrame) -> DataFrame:
             other_neg_qty=OTHER_NEGATIVE_QUANTITY,
             duplicate_revenue_excluded=DUPLICATE,
             net_revenue_non_duplicate=KEPT,
-            total_table_revenue=F.lit(True),
+            total_table_revenue=ALL_ROWS,
         )
     )
     parts = ["gross_normal_sales", "cancellations_non_dup", "bad_debt_adjustments", "other_neg_qty"]
@@ -63,14 +64,14 @@ def load_audit(fact: DataFrame, *more: Column) -> DataFrame:
     ``more`` aggregates are added in front of the amounts, in the same scan.
     """
     counts = {
-        "missing_customers": F.col("customer_id").isNull(),
-        "missing_descriptions": F.col("is_missing_description") == 1,
+        "missing_customers": "customer_id IS NULL",
+        "missing_descriptions": "is_missing_description = 1",
         "duplicates": DUPLICATE,
         "cancellations": CANCELLED,
         "normal_sales": NORMAL_SALE,
-        "neg_quantities": F.col("is_negative_quantity") == 1,
-        "zero_prices": F.col("is_zero_price") == 1,
-        "neg_prices": F.col("is_negative_price") == 1,
+        "neg_quantities": "is_negative_quantity = 1",
+        "zero_prices": "is_zero_price = 1",
+        "neg_prices": "is_negative_price = 1",
     }
     amounts = _amounts(
         gross_normal_sales=NORMAL_SALE,
@@ -79,11 +80,11 @@ def load_audit(fact: DataFrame, *more: Column) -> DataFrame:
         other_neg_qty_adjustments=OTHER_NEGATIVE_QUANTITY,
         duplicate_revenue_excluded=DUPLICATE,
         net_revenue_non_duplicate=KEPT,
-        total_table_revenue=F.lit(True),
+        total_table_revenue=ALL_ROWS,
     )
     totals = fact.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(rows).alias(name) for name, rows in counts.items()],
+        *[F.count_if(F.expr(rows)).alias(name) for name, rows in counts.items()],
         *more,
         *amounts,
     )

@@ -1,9 +1,10 @@
 """Sales KPIs and trends: overview, months, days, filtered KPIs, filter options."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillroll.operators.filters import NO_FILTER, ReportFilter
 from tillroll.operators.measures import (
+    ALL_ROWS,
     BAD_DEBT,
     CANCELLED,
     CANCELLED_KEPT,
@@ -41,7 +42,7 @@ def sales_overview(fact: DataFrame) -> DataFrame:
             "net": revenue(KEPT),
         },
         orders={
-            "total_distinct_invoices": F.lit(True),
+            "total_distinct_invoices": ALL_ROWS,
             "sales_invoices": NORMAL_SALE,
             "cancellation_invoices": CANCELLED,
             "kept_invoices": KEPT,
@@ -65,19 +66,24 @@ def sales_overview(fact: DataFrame) -> DataFrame:
     )
 
 
-def _trend(fact: DataFrame, period: Column, name: str, with_returned_units: bool) -> DataFrame:
-    sums = {
-        "units_sold": units(NORMAL_SALE),
-        **({"units_returned": units(CANCELLED_KEPT)} if with_returned_units else {}),
-        "gross": revenue(NORMAL_SALE),
-        "returns": revenue(CANCELLED_KEPT),
-        "net": revenue(KEPT),
-    }
-    totals = rollup(fact.withColumn(name, period), [name], sums, orders={"order_count": NORMAL_SALE})
+def _trend(fact: DataFrame, period: str, *more_units: str) -> DataFrame:
+    all_units = {"units_sold": units(NORMAL_SALE), "units_returned": units(CANCELLED_KEPT)}
+    shown = {name: all_units[name] for name in ["units_sold", *more_units]}
+    totals = rollup(
+        fact,
+        [period],
+        sums={
+            **shown,
+            "gross": revenue(NORMAL_SALE),
+            "returns": revenue(CANCELLED_KEPT),
+            "net": revenue(KEPT),
+        },
+        orders={"order_count": NORMAL_SALE},
+    )
     return totals.select(
-        name,
+        period,
         "order_count",
-        *[column for column in sums if column.startswith("units")],
+        *shown,
         as_money(F.col("gross")).alias("gross_revenue"),
         as_money(F.col("returns")).alias("returns_offset"),
         as_money(F.col("net")).alias("net_revenue"),
@@ -86,9 +92,7 @@ def _trend(fact: DataFrame, period: Column, name: str, with_returned_units: bool
 
 def monthly_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame:
     """Months in order, with growth over the previous month that has rows."""
-    months = _trend(
-        fact.where(where.predicate()), F.date_format("invoice_date", "yyyy-MM"), "sales_month", False
-    )
+    months = _trend(fact.where(where.predicate()), "sales_month")
     # One row per calendar month reaches this window, never the fact.
     previous = F.lag("net_revenue").over(Window.orderBy("sales_month"))
     growth = F.try_divide(F.col("net_revenue") - F.col("prev_month_net_revenue"), F.col("prev_month_net_revenue"))
@@ -101,10 +105,8 @@ def monthly_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame
 
 def daily_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame:
     """Days in order, with orders, units and revenue."""
-    days = _trend(
-        fact.where(where.predicate()), F.date_format("invoice_date", "yyyy-MM-dd"), "sales_date", True
-    )
-    return days.orderBy("sales_date")
+    dated = fact.where(where.predicate()).withColumn("sales_date", F.date_format("invoice_date", "yyyy-MM-dd"))
+    return _trend(dated, "sales_date", "units_returned").orderBy("sales_date")
 
 
 def daily_moving_average(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame:
@@ -140,7 +142,7 @@ def filtered_kpis(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame
             "net": revenue(KEPT),
         },
         orders={
-            "total_invoices": F.lit(True),
+            "total_invoices": ALL_ROWS,
             "sales_invoices": NORMAL_SALE,
             "cancel_invoices": CANCELLED,
         },

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The eight raw columns for every line item in ``folder``.
 
-    All joins are plain equi-joins: Spark broadcasts a side only where its
+    All joins are plain equi-joins: Spark broadcasts a dimension only where its
     measured size is under the session's threshold, and adaptive execution
-    splits hot keys. Orders meet customers before the far larger line items
-    are touched, and copies are added by a generator, so line items are
-    scanned once.
+    splits hot keys. The two large tables, which grow together, are always
+    merged by order key, so that small test files are spread over all cores as
+    well. Orders meet customers before the far larger line items are touched,
+    and copies are added by a generator, so line items are scanned once.
     """
 
     def table(name):
@@ -40,7 +41,7 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = (
         table("lineitem")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("k", F.col("l_orderkey") + F.col("l_partkey") + F.col("l_linenumber"))
