@@ -1,0 +1,32 @@
+import pytest
+from samples import NINE_LINES, dicts, fact_frame
+
+from pyspark.sql import functions as F
+
+from tillroll.functions.display import currency, number, percent
+from tillroll.plans import anomalies, countries, customers, display, products, sales
+
+
+@pytest.mark.parametrize(
+    "form, cases",
+    [
+        (currency, {1234.56: "£1,234.56", -893979.73: "-£893,979.73", 0.0: "£0.00", None: "£0.00"}),
+        (number, {1000.0: "1,000", None: "0", -0.4: "0", 2.5: "2", -1234567.0: "-1,234,567"}),
+        (percent, {15.2: "+15.2%", -10.5: "-10.5%", 0.0: "0.0%", None: "0.0%", 15.25: "+15.2%", 15.35: "+15.3%"}),
+    ],
+)
+def test_forms(spark, form, cases):
+    frame = spark.createDataFrame([(value,) for value in cases], "value DOUBLE")
+    assert [r[0] for r in frame.select(form(F.col("value"))).collect()] == list(cases.values())
+
+
+def test_displayed_reports(spark):
+    fact = fact_frame(spark, NINE_LINES).cache()
+    months = dicts(display.displayed(sales.monthly_sales(fact), display.MONTHLY_DISPLAY))
+    assert months[1] == {"Month": "2011-02", "Orders": 2, "Net Revenue": "£130.00", "MoM Growth": "+44.4%"}
+    best = dicts(display.displayed(products.top_products(fact), display.PRODUCT_DISPLAY))
+    assert best[-1]["Net Revenue"] == "-£50.00"
+    assert dicts(display.displayed(countries.country_analysis(fact), display.COUNTRY_DISPLAY))[0]["% Global Revenue"] == 52.0
+    assert dicts(display.displayed(customers.customer_analysis(fact), display.CUSTOMER_DISPLAY))[0]["Segment"] == "REPEAT"
+    rows = dicts(display.displayed(anomalies.returns_and_cancellations(fact), display.ANOMALY_DISPLAY))
+    assert rows[1]["Net Revenue Impact"] == "£0.00" and rows[0]["Net Units Impact"] == "-2"
