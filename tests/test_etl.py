@@ -103,3 +103,12 @@ def test_parquet_source(spark, tmp_path):
     path = str(tmp_path / "raw")
     raw_frame(spark, LOADED).write.parquet(path)
     assert run_etl(spark, path, str(tmp_path / "fact")).loaded_rows == 5
+
+
+def test_files_with_other_headers_are_refused(spark, tmp_path):
+    folder = tmp_path / "many.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(CSV)
+    (folder / "b.csv").write_text(CSV.replace("Quantity,InvoiceDate", "InvoiceDate,Quantity"))
+    with pytest.raises(EtlError):
+        run_etl(spark, str(folder), str(tmp_path / "fact"))

@@ -7,6 +7,9 @@ from tillroll.schema import RAW_COLUMNS
 # Groups with more copies than this are written out by several tasks.
 COPIES_PER_BLOCK = 10_000
 
+# The largest groups are cut into this many blocks, so a list of blocks stays small.
+MOST_BLOCKS = 1_000_000
+
 
 def detect_duplicates(lines: DataFrame, copies_per_block: int = COPIES_PER_BLOCK) -> DataFrame:
     """Flag the second and later copies of rows equal on all eight columns.
@@ -31,7 +34,8 @@ def detect_duplicates(lines: DataFrame, copies_per_block: int = COPIES_PER_BLOCK
     few = groups.where(copies <= copies_per_block).withColumn(
         "occurrence", F.explode(F.sequence(F.lit(1).cast("bigint"), copies))
     )
-    block, size = F.col("block"), F.lit(copies_per_block).cast("bigint")
+    block = F.col("block")
+    size = F.greatest(F.lit(copies_per_block), F.ceil(copies / MOST_BLOCKS))
     last_block = F.call_function("div", copies - 1, size)
     spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     many = (
