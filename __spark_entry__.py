@@ -27,6 +27,7 @@ from tillroll.plans import (  # noqa: E402
     sales,
     validation,
 )
+from tillroll.plans.etl import run_etl  # noqa: E402
 from tillroll.schema import FLAG_COLUMNS, RAW_TO_FACT  # noqa: E402
 from tillroll.sources.orders import retail_lines  # noqa: E402
 
@@ -100,6 +101,16 @@ def _publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _load_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the raw lines as CSV, run the whole job on them, audit what it published."""
+    base = _shared_folder(spark)
+    raw_path, table = f"{base}/raw.csv", f"{base}/fact"
+    kept_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    retail_lines(spark, folder).write.options(header=True, escape='"', **kept_blanks).csv(raw_path)
+    run_etl(spark, raw_path, table)
+    return reconciliation.load_audit(publish.read_fact(spark, table))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Monthly sales with growth over the cleaned lines of the smallest test set."""
     return queries()["monthly_sales"](spark, "/root/testdata/sf0.001")
@@ -125,7 +136,9 @@ def queries() -> dict[str, Query]:
         ),
         "country_analysis": _on_fact(countries.country_analysis),
         "market_share_top6": _on_fact(countries.market_share),
-        "market_share_top10": _on_fact(lambda fact: countries.market_share(fact, top=10)),
+        "market_share_top10": _on_fact(
+            lambda fact: display.ascending(countries.market_share(fact, top=10), "net_revenue")
+        ),
         "customer_analysis": _on_fact(customers.customer_analysis),
         "customer_summary": _on_fact(customers.customer_summary),
         "customer_median_spend": _on_fact(customers.customer_median_spend),
@@ -161,6 +174,7 @@ def queries() -> dict[str, Query]:
         ),
         "anomalies_display": _shown(anomalies.returns_and_cancellations, display.ANOMALY_DISPLAY),
         "publish_roundtrip": _publish_roundtrip,
+        "load_job": _load_job,
     }
 
 

@@ -572,6 +572,7 @@ CHECKS = {
     "countries_display": _with(COUNTRIES_DISPLAY),
     "customers_display": _with(CUSTOMERS_DISPLAY),
     "anomalies_display": _with(ANOMALIES_DISPLAY),
+    "load_job": _with(LOAD_AUDIT),
     "publish_roundtrip": _with(
         """SELECT sales_month, COUNT(*) AS lines, COUNT(DISTINCT invoice_no) AS invoices,
         CAST(SUM(line_revenue) AS DOUBLE) AS revenue FROM fact GROUP BY sales_month"""

@@ -86,3 +86,10 @@ def test_date_filter_reads_its_months_only(spark, table):
     assert "invoice_date" in pushed and "country" in pushed
     assert len(fact.where(where.predicate()).inputFiles()) <= 12
     assert only(sales.filtered_kpis(fact, where))["total_rows"] == 2
+
+
+def test_users_sql_runs_over_the_published_fact(spark, table):
+    publish.load_transformed(transformed(spark), table)
+    count = "SELECT COUNT(*) AS n FROM retail_transactions WHERE is_normal_sale = 1 AND country = "
+    assert only(publish.execute_query(spark, table, count + ":country", {"country": "France"})) == {"n": 1}
+    assert only(publish.execute_query(spark, table, count + "?", ["Spain"])) == {"n": 0}

@@ -2,7 +2,8 @@ import pytest
 from samples import NINE_LINES, dicts, fact_frame, line, only
 
 from tillroll.operators.filters import ReportFilter
-from tillroll.plans import anomalies, countries, customers, products, reconciliation, sales
+from tillroll.plans import anomalies, countries, customers, products, reconciliation, reports, sales
+from tillroll.plans.display import ascending
 
 
 @pytest.fixture(scope="module")
@@ -272,3 +273,15 @@ def test_filter_options(fact, empty):
     assert only(sales.date_bounds(fact)) == {"min_date": "2011-01-05", "max_date": "2011-03-10"}
     assert only(sales.date_bounds(empty)) == {"min_date": "2010-12-01", "max_date": "2011-12-09"}
     assert [r["country"] for r in dicts(sales.country_options(fact))] == ["France", "Germany", "United Kingdom"]
+
+
+def test_business_report_is_written_by_section(spark, fact, tmp_path):
+    for _ in range(2):
+        reports.write_business_report(fact, str(tmp_path))
+    assert {p.name for p in tmp_path.iterdir()} == set(reports.business_report(fact))
+    assert spark.read.parquet(str(tmp_path / "overview")).first().net_revenue == 250.0
+
+
+def test_rankings_can_be_turned_round(fact):
+    rows = dicts(ascending(countries.market_share(fact), "net_revenue"))
+    assert [r["country"] for r in rows] == ["Germany", "France", "United Kingdom"]

@@ -59,3 +59,8 @@ def displayed(report: DataFrame, layout: dict) -> DataFrame:
     return report.select(
         *[(form(F.col(name)) if form else F.col(name)).alias(heading) for name, (heading, form) in layout.items()]
     )
+
+
+def ascending(report: DataFrame, measure: str) -> DataFrame:
+    """A ranking turned round, smallest first, as bar charts draw it."""
+    return report.orderBy(measure)

@@ -56,6 +56,15 @@ def read_fact(spark: SparkSession, table: str) -> DataFrame:
     return _read_segments(spark, table, current_version(spark, table).segments)
 
 
+def execute_query(spark: SparkSession, table: str, query: str, params: dict | list | None = None) -> DataFrame:
+    """Run a user's SQL over the published fact, which it names ``retail_transactions``.
+
+    ``params`` fill ``:name`` markers (dict) or ``?`` markers (list).
+    """
+    read_fact(spark, table).createOrReplaceTempView("retail_transactions")
+    return spark.sql(query, args=params)
+
+
 def _stage(fact: DataFrame, table: str) -> str:
     """Write a new segment that nobody reads yet.
 
