@@ -367,7 +367,7 @@ def _rows(columns: list[str], value, source: str) -> str:
     return " UNION ALL ".join(value(column) + f" FROM {source}" for column in columns)
 
 
-CLEAN = f"""SELECT sha256(CAST(to_json([invoice_no, stock_code, description, CAST(quantity AS VARCHAR),
+CLEAN = f"""SELECT md5(CAST(to_json([invoice_no, stock_code, description, CAST(quantity AS VARCHAR),
     strftime(invoice_date, '%Y-%m-%d %H:%M:%S.%f'), CAST(unit_price AS VARCHAR), CAST(customer_id AS VARCHAR),
     country]) AS VARCHAR)) || '-0-' || CAST(occurrence AS VARCHAR) AS line_id,
   {", ".join(c for c in FACT_COLUMNS if c not in ("invoice_date", "unit_price", "line_revenue"))},

@@ -112,3 +112,11 @@ def test_files_with_other_headers_are_refused(spark, tmp_path):
     (folder / "b.csv").write_text(CSV.replace("Quantity,InvoiceDate", "InvoiceDate,Quantity"))
     with pytest.raises(EtlError):
         run_etl(spark, str(folder), str(tmp_path / "fact"))
+
+
+def test_profile_follows_a_changed_file(spark, paths, tmp_path):
+    raw, table, _ = paths
+    for lines in [CSV, CSV + CSV.splitlines()[1] + "\n"]:
+        (tmp_path / "raw.csv").write_text(lines)
+        run_etl(spark, raw, table, profile_path=str(tmp_path / "profile"))
+    assert spark.read.parquet(str(tmp_path / "profile" / "size")).first().rows == 5

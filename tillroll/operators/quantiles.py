@@ -1,13 +1,14 @@
 """Exact, interpolated quantiles without bringing a column's values together.
 
 ``percentile`` and ``median`` keep every distinct value in one task. Here equal
-values are counted first; the wanted ranks are then found 16 bits at a time, so
-no window ever sees more than 65,536 rows, however many values there are.
+values are counted first; the wanted ranks are then found 22 bits at a time, so
+no window ever sees more than four million rows, however many values there are.
 """
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_DIGIT_BITS = 16
+# Bits of the value still to be told apart before and after each step.
+_STEPS = [(64, 42), (42, 20), (20, 0)]
 
 
 def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
@@ -37,13 +38,12 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
     )
     target = ["name", "probability", "rank", "weight", "remaining"]
     by_digit = Window.partitionBy("name", "probability", "rank").orderBy("digit")
-    for shift in range(64 - _DIGIT_BITS, -1, -_DIGIT_BITS):
-        above = shift + _DIGIT_BITS
+    for before, after in _STEPS:
         digits = counts.select(
             "name",
             "n",
-            F.shiftright("value", shift).alias("digit"),
-            (F.shiftright("value", above) if above < 64 else F.lit(0).cast("bigint")).alias("prefix"),
+            F.shiftright("value", after).alias("digit"),
+            (F.shiftright("value", before) if before < 64 else F.lit(0).cast("bigint")).alias("prefix"),
         )
         # ``wanted`` has at most two rows per name and probability, whatever the data.
         matched = digits.join(F.broadcast(wanted), ["name", "prefix"])

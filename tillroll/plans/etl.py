@@ -3,11 +3,11 @@
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from tillroll.errors import DataQualityError, EtlError, SourceNotFoundError
 from tillroll.operators.cleaning import transform_retail
-from tillroll.plans.profile import profile
+from tillroll.plans.profile import write_profile
 from tillroll.plans.publish import load_transformed
 from tillroll.plans.validation import require_columns, require_types
 from tillroll.sources.files import read_raw
@@ -31,11 +31,6 @@ def _report(spark: SparkSession, report_path: str | None, sections: dict[str, di
         frame.write.mode("overwrite").parquet(report_path)
 
 
-def _write_profile(raw: DataFrame, profile_path: str) -> None:
-    for name, section in profile(raw).items():
-        section.write.mode("overwrite").parquet(f"{profile_path}/{name}")
-
-
 def run_etl(
     spark: SparkSession,
     raw_path: str,
@@ -66,7 +61,7 @@ def run_etl(
             steps["profile"] = "SKIPPED"
         else:
             try:
-                _write_profile(raw, profile_path)
+                write_profile(raw, profile_path)
                 steps["profile"] = "SUCCESS"
             except Exception as error:
                 steps["profile"] = f"FAILED: {error}"

@@ -1,56 +1,176 @@
-"""Profile of the raw lines, before any cleaning."""
+"""Profile of the raw lines, before any cleaning.
 
-from pyspark.sql import DataFrame, functions as F
+Sections that a single scan can answer are each a list of aggregates and a
+function that lays out the one row they give. ``write_profile`` computes the
+aggregates of all of them together, so the raw lines are read once for these.
+"""
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions import parsing
 from tillroll.operators.cleaning import standardize_columns
 from tillroll.operators.measures import or_zero, ratio
 from tillroll.operators.quantiles import exact_quantiles
 
+ScanSection = tuple[dict[str, Column], Callable[[DataFrame], DataFrame]]
+
 _PRICE_SCALE = 10_000
+_PARSERS = {
+    "Quantity": parsing.parse_whole_number,
+    "InvoiceDate": parsing.parse_timestamp,
+    "UnitPrice": parsing.parse_price,
+    "CustomerID": parsing.parse_whole_number,
+}
+_NUMBERS = {"quantity": "Quantity", "unit_price": "UnitPrice"}
+_QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
-def _percent(part, whole):
+def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(ratio(part, whole) * 100, 2), F.lit(0.0))
 
 
-def _parsed(raw: DataFrame) -> DataFrame:
-    """Raw lines with readable numbers and dates; what cannot be read is null."""
+def _parsed(raw: DataFrame, name: str) -> Column:
+    """The readable values of a raw column; the others are null."""
+    return _PARSERS[name](F.col(name), raw.schema[name].dataType)
 
-    def parse(name, parser):
-        return parser(F.col(name), raw.schema[name].dataType)
 
-    return raw.withColumns(
-        {
-            "Quantity": parse("Quantity", parsing.parse_whole_number),
-            "UnitPrice": parse("UnitPrice", parsing.parse_price),
-            "InvoiceDate": parse("InvoiceDate", parsing.parse_timestamp),
-        }
-    )
+def _totals(raw: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
+    return raw.agg(*[column.alias(name) for name, column in aggregates.items()])
+
+
+def _rows(totals: DataFrame, rows: list[Column]) -> DataFrame:
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def _from_one_scan(raw: DataFrame, section: Callable[[DataFrame], ScanSection]) -> DataFrame:
+    aggregates, layout = section(raw)
+    return layout(_totals(raw, aggregates))
+
+
+def _size(raw: DataFrame) -> ScanSection:
+    def layout(totals):
+        return totals.select(F.col("size_rows").alias("rows"), F.lit(len(raw.columns)).cast("bigint").alias("columns"))
+
+    return {"size_rows": F.count(F.lit(1))}, layout
+
+
+def _columns(raw: DataFrame) -> ScanSection:
+    given = {field: f"given_{i}" for i, field in enumerate(raw.schema)}
+
+    def layout(totals):
+        rows = F.col("column_rows")
+        return _rows(
+            totals,
+            [
+                F.struct(
+                    F.lit(field.name).alias("column"),
+                    F.lit(field.dataType.simpleString()).alias("dtype"),
+                    F.col(count).alias("non_null_count"),
+                    (rows - F.col(count)).alias("null_count"),
+                    _percent(rows - F.col(count), rows).alias("null_pct"),
+                )
+                for field, count in given.items()
+            ],
+        )
+
+    counts = {count: F.count(F.col(f"`{field.name}`")) for field, count in given.items()}
+    return {"column_rows": F.count(F.lit(1)), **counts}, layout
+
+
+def _temporal(raw: DataFrame) -> ScanSection:
+    def layout(totals):
+        text = "yyyy-MM-dd HH:mm:ss"
+        return totals.select(
+            F.date_format("first_date", text).alias("min_date"),
+            F.date_format("last_date", text).alias("max_date"),
+            F.timestamp_diff("DAY", "first_date", "last_date").alias("timespan_days"),
+        )
+
+    moment = _parsed(raw, "InvoiceDate")
+    return {"first_date": F.min(moment), "last_date": F.max(moment)}, layout
+
+
+def _moments(raw: DataFrame) -> ScanSection:
+    statistics = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+
+    def layout(totals):
+        def value(label, column):
+            return F.col(f"{label}_{column}") if label in statistics else F.lit(None).cast("double")
+
+        return _rows(
+            totals,
+            [
+                F.struct(
+                    F.lit(label).alias("statistic"), *[value(label, column).alias(column) for column in _NUMBERS]
+                )
+                for label in [*statistics, *_QUARTILES]
+            ],
+        )
+
+    aggregates = {
+        f"{label}_{column}": function(_parsed(raw, name)).cast("double")
+        for label, function in statistics.items()
+        for column, name in _NUMBERS.items()
+    }
+    return aggregates, layout
+
+
+def _anomalies(raw: DataFrame) -> ScanSection:
+    cancelled = F.coalesce(F.col("InvoiceNo").cast("string").startswith("C"), F.lit(False))
+    negative = F.coalesce(_parsed(raw, "Quantity") < 0, F.lit(False))
+    price = _parsed(raw, "UnitPrice")
+    rules = {
+        "cancelled_invoices": cancelled,
+        "negative_quantity": negative,
+        "negative_quantity_cancelled": negative & cancelled,
+        "negative_quantity_not_cancelled": negative & ~cancelled,
+        "zero_price": price == 0,
+        "negative_price": price < 0,
+        "missing_customer": F.col("CustomerID").isNull(),
+    }
+
+    def layout(totals):
+        return _rows(
+            totals,
+            [
+                F.struct(
+                    F.lit(name).alias("anomaly"),
+                    F.col(name).alias("n"),
+                    _percent(F.col(name), F.col("anomaly_rows")).alias("pct"),
+                )
+                for name in rules
+            ],
+        )
+
+    return {"anomaly_rows": F.count(F.lit(1)), **{name: F.count_if(rule) for name, rule in rules.items()}}, layout
+
+
+def _unreadable(raw: DataFrame) -> ScanSection:
+    def layout(totals):
+        return _rows(
+            totals,
+            [
+                F.struct(F.lit(name).alias("column"), F.col(f"unreadable_{name}").alias("unreadable"))
+                for name in _PARSERS
+            ],
+        )
+
+    return {
+        f"unreadable_{name}": F.count_if(~parsing.is_blank(F.col(name)) & _parsed(raw, name).isNull())
+        for name in _PARSERS
+    }, layout
 
 
 def profile_size(raw: DataFrame) -> DataFrame:
     """Number of rows and columns."""
-    return raw.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(raw.columns)).cast("bigint"))
+    return _from_one_scan(raw, _size)
 
 
 def profile_columns(raw: DataFrame) -> DataFrame:
-    """Type and null counts of every column, in one scan."""
-    totals = raw.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{name}`")).alias(name) for name in raw.columns]
-    )
-    rows = F.col("rows")
-    described = [
-        F.struct(
-            F.lit(field.name).alias("column"),
-            F.lit(field.dataType.simpleString()).alias("dtype"),
-            F.col(f"`{field.name}`").alias("non_null_count"),
-            (rows - F.col(f"`{field.name}`")).alias("null_count"),
-            _percent(rows - F.col(f"`{field.name}`"), rows).alias("null_pct"),
-        )
-        for field in raw.schema
-    ]
-    return totals.select(F.inline(F.array(*described)))
+    """Type and null counts of every column."""
+    return _from_one_scan(raw, _columns)
 
 
 def profile_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
@@ -61,142 +181,92 @@ def profile_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
 def profile_duplicates(raw: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every raw column."""
     groups = raw.groupBy(*[F.col(f"`{name}`") for name in raw.columns]).agg(F.count(F.lit(1)).alias("copies"))
-    totals = groups.agg(
-        or_zero(F.sum(F.col("copies") - 1)).alias("duplicate_rows"), F.sum("copies").alias("rows")
-    )
+    totals = groups.agg(or_zero(F.sum(F.col("copies") - 1)).alias("duplicate_rows"), F.sum("copies").alias("rows"))
     return totals.select("duplicate_rows", _percent(F.col("duplicate_rows"), F.col("rows")).alias("duplicate_pct"))
 
 
 def profile_temporal(raw: DataFrame) -> DataFrame:
     """First and last invoice time, and the whole days between them."""
-    bounds = _parsed(raw).agg(F.min("InvoiceDate").alias("first"), F.max("InvoiceDate").alias("last"))
-    text = "yyyy-MM-dd HH:mm:ss"
-    return bounds.select(
-        F.date_format("first", text).alias("min_date"),
-        F.date_format("last", text).alias("max_date"),
-        F.timestamp_diff("DAY", "first", "last").alias("timespan_days"),
-    )
+    return _from_one_scan(raw, _temporal)
 
 
-def profile_numeric(raw: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of quantity and price."""
-    numbers = _parsed(raw).select(F.col("Quantity").alias("quantity"), F.col("UnitPrice").alias("unit_price"))
-    columns = ["quantity", "unit_price"]
-    statistics = {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    quartiles = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
-    totals = numbers.agg(
-        *[
-            function(F.col(column)).cast("double").alias(f"{label}_{column}")
-            for label, function in statistics.items()
-            for column in columns
-        ]
-    )
-    nothing = F.lit(None).cast("double")
-    summary = totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(label).alias("statistic"),
-                        *[
-                            (F.col(f"{label}_{column}") if label in statistics else nothing).alias(column)
-                            for column in columns
-                        ],
-                    )
-                    for label in [*statistics, *quartiles]
-                ]
-            )
-        )
-    )
+def _with_quartiles(moments: DataFrame, raw: DataFrame) -> DataFrame:
     whole_numbers = {
-        "quantity": F.col("quantity"),
-        "unit_price": (F.col("unit_price") * _PRICE_SCALE).cast("bigint"),
+        "quantity": _parsed(raw, "Quantity"),
+        "unit_price": (_parsed(raw, "UnitPrice") * _PRICE_SCALE).cast("bigint"),
     }
     pairs = [F.struct(F.lit(name).alias("name"), value.alias("value")) for name, value in whole_numbers.items()]
-    values = numbers.select(F.inline(F.array(*pairs)))
-    found = exact_quantiles(values, list(quartiles.values()))
-    label = F.element_at(
-        F.create_map(*[F.lit(x) for pair in quartiles.items() for x in (pair[1], pair[0])]), F.col("probability")
-    )
+    found = exact_quantiles(raw.select(F.inline(F.array(*pairs))), list(_QUARTILES.values()))
+    label = F.coalesce(*[F.when(F.col("probability") == p, name) for name, p in _QUARTILES.items()])
     by_label = found.select(
         label.alias("statistic"),
         F.when(F.col("name") == "quantity", F.col("quantile")).alias("quantity"),
         F.when(F.col("name") == "unit_price", F.col("quantile") / _PRICE_SCALE).alias("unit_price"),
     )
-    return (
-        summary.unionByName(by_label)
-        .groupBy("statistic")
-        .agg(*[F.round(F.max(column), 4).alias(column) for column in columns])
-    )
+    both = moments.unionByName(by_label).groupBy("statistic")
+    return both.agg(*[F.round(F.max(column), 4).alias(column) for column in _NUMBERS])
+
+
+def profile_numeric(raw: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles of quantity and price."""
+    return _with_quartiles(_from_one_scan(raw, _moments), raw)
 
 
 def profile_anomalies(raw: DataFrame) -> DataFrame:
-    """Counts and shares of unusual raw rows, in one scan."""
-    lines = _parsed(raw)
-    cancelled = F.coalesce(F.col("InvoiceNo").cast("string").startswith("C"), F.lit(False))
-    negative = F.coalesce(F.col("Quantity") < 0, F.lit(False))
-    rules = {
-        "cancelled_invoices": cancelled,
-        "negative_quantity": negative,
-        "negative_quantity_cancelled": negative & cancelled,
-        "negative_quantity_not_cancelled": negative & ~cancelled,
-        "zero_price": F.col("UnitPrice") == 0,
-        "negative_price": F.col("UnitPrice") < 0,
-        "missing_customer": F.col("CustomerID").isNull(),
-    }
-    totals = lines.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.count_if(rule).alias(name) for name, rule in rules.items()]
-    )
-    pairs = [
-        F.struct(
-            F.lit(name).alias("anomaly"), F.col(name).alias("n"), _percent(F.col(name), F.col("rows")).alias("pct")
-        )
-        for name in rules
-    ]
-    return totals.select(F.inline(F.array(*pairs)))
+    """Counts and shares of unusual raw rows."""
+    return _from_one_scan(raw, _anomalies)
 
 
 def parse_failures(raw: DataFrame) -> DataFrame:
     """Values that are given but cannot be read; cleaning turns them into 0 or null."""
-    lines = standardize_columns(raw)
-    parsers = {
-        "Quantity": parsing.parse_whole_number,
-        "InvoiceDate": parsing.parse_timestamp,
-        "UnitPrice": parsing.parse_price,
-        "CustomerID": parsing.parse_whole_number,
-    }
-    totals = lines.agg(
-        *[
-            F.count_if(
-                ~parsing.is_blank(F.col(name)) & parse(F.col(name), lines.schema[name].dataType).isNull()
-            ).alias(name)
-            for name, parse in parsers.items()
-        ]
-    )
-    pairs = [F.struct(F.lit(name).alias("column"), F.col(name).alias("unreadable")) for name in parsers]
-    return totals.select(F.inline(F.array(*pairs)))
-
-
-PROFILE_SECTIONS = {
-    "size": profile_size,
-    "columns": profile_columns,
-    "sample": profile_sample,
-    "duplicates": profile_duplicates,
-    "temporal": profile_temporal,
-    "numeric": profile_numeric,
-    "anomalies": profile_anomalies,
-    "parse_failures": parse_failures,
+    return _from_one_scan(raw, _unreadable)
+
+
+_SCANS = {
+    "size": _size,
+    "columns": _columns,
+    "temporal": _temporal,
+    "numeric": _moments,
+    "anomalies": _anomalies,
+    "parse_failures": _unreadable,
 }
 
 
-def profile(raw: DataFrame) -> dict[str, DataFrame]:
-    """All sections of the profile, by name, still lazy."""
+def _stripped(raw: DataFrame) -> DataFrame:
     standardize_columns(raw)  # raises when a required column is absent
-    lines = raw.toDF(*[name.strip() for name in raw.columns])
-    return {name: section(lines) for name, section in PROFILE_SECTIONS.items()}
+    return raw.toDF(*[name.strip() for name in raw.columns])
+
+
+def _all_totals(lines: DataFrame) -> DataFrame:
+    return _totals(lines, {name: value for scan in _SCANS.values() for name, value in scan(lines)[0].items()})
+
+
+def _sections(lines: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
+    sections = {name: scan(lines)[1](totals) for name, scan in _SCANS.items()}
+    return {
+        **sections,
+        "numeric": _with_quartiles(sections["numeric"], lines),
+        "sample": profile_sample(lines),
+        "duplicates": profile_duplicates(lines),
+    }
+
+
+def profile(raw: DataFrame) -> dict[str, DataFrame]:
+    """All sections of the profile by name, still lazy."""
+    lines = _stripped(raw)
+    return _sections(lines, _all_totals(lines))
+
+
+def write_profile(raw: DataFrame, path: str) -> None:
+    """Write each section as Parquet under ``path``, replacing an earlier profile.
+
+    The one row of totals that most sections share is computed once and kept
+    while they are written.
+    """
+    lines = _stripped(raw)
+    totals = _all_totals(lines).persist()
+    try:
+        for name, section in _sections(lines, totals).items():
+            section.write.mode("overwrite").parquet(f"{path}/{name}")
+    finally:
+        totals.unpersist()
