@@ -180,7 +180,8 @@ def profile_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
 
 def profile_duplicates(raw: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every raw column."""
-    groups = raw.groupBy(*[F.col(f"`{name}`") for name in raw.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    row = F.struct(*[F.col(f"`{name}`") for name in raw.columns])
+    groups = raw.groupBy(row.alias("row")).agg(F.count(F.lit(1)).alias("copies"))
     totals = groups.agg(or_zero(F.sum(F.col("copies") - 1)).alias("duplicate_rows"), F.sum("copies").alias("rows"))
     return totals.select("duplicate_rows", _percent(F.col("duplicate_rows"), F.col("rows")).alias("duplicate_pct"))
 
