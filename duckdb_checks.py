@@ -117,8 +117,14 @@ def _exact(rows: str) -> str:
     return f"SUM(CASE WHEN {rows} THEN line_revenue ELSE 0 END)"
 
 
+def _hundredths(value: str) -> str:
+    """Two decimals, half away from zero, in the same double steps as the queries."""
+    half_up = f"CAST(floor(abs({value}) * 100 + 0.5) AS BIGINT)"
+    return f"CAST(CASE WHEN {value} < 0 THEN -{half_up} ELSE {half_up} END AS DOUBLE) / 100"
+
+
 def _share(part: str, whole: str) -> str:
-    return f"ROUND(CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100, 2)"
+    return _hundredths(f"(CAST({part} AS DOUBLE) / CAST({whole} AS DOUBLE) * 100)")
 
 
 def _overview() -> str:
@@ -128,20 +134,19 @@ def _overview() -> str:
       {_units(SALE)} AS units_sold, {_units(CANCELLED_KEPT)} AS units_returned,
       {_money(SALE)} AS gross_sales_revenue, {_money(CANCELLED_KEPT)} AS cancellations_revenue_offset,
       {_money(BAD_DEBT)} AS bad_debt_adjustments, {_money(KEPT)} AS net_revenue,
-      ROUND(CAST({_exact(SALE)} AS DOUBLE) / NULLIF({_orders(SALE)}, 0), 2) AS gross_aov_per_sales_order,
-      ROUND(CAST({_exact(KEPT)} AS DOUBLE) / NULLIF({_orders(KEPT)}, 0), 2) AS net_aov_per_distinct_order
+      {_hundredths(f"(CAST({_exact(SALE)} AS DOUBLE) / NULLIF({_orders(SALE)}, 0))")} AS gross_aov_per_sales_order,
+      {_hundredths(f"(CAST({_exact(KEPT)} AS DOUBLE) / NULLIF({_orders(KEPT)}, 0))")} AS net_aov_per_distinct_order
       FROM fact"""
 
 
 def _monthly(where: str = "TRUE") -> str:
     return f"""SELECT sales_month, order_count, units_sold, gross_revenue, returns_offset, net_revenue,
-      LAG(net_revenue) OVER (ORDER BY sales_month) AS prev_month_net_revenue,
-      ROUND((net_revenue - LAG(net_revenue) OVER (ORDER BY sales_month))
-        / NULLIF(LAG(net_revenue) OVER (ORDER BY sales_month), 0) * 100, 2) AS mom_growth_percent
-      FROM (SELECT strftime(invoice_date, '%Y-%m') AS sales_month, {_orders(SALE)} AS order_count,
+      previous AS prev_month_net_revenue,
+      {_hundredths("((net_revenue - previous) / NULLIF(previous, 0) * 100)")} AS mom_growth_percent
+      FROM (SELECT *, LAG(net_revenue) OVER (ORDER BY sales_month) AS previous FROM (SELECT strftime(invoice_date, '%Y-%m') AS sales_month, {_orders(SALE)} AS order_count,
         {_units(SALE)} AS units_sold, {_money(SALE)} AS gross_revenue,
         {_money(CANCELLED_KEPT)} AS returns_offset, {_money(KEPT)} AS net_revenue
-        FROM fact WHERE {where} GROUP BY 1)"""
+        FROM fact WHERE {where} GROUP BY 1))"""
 
 
 def _daily(where: str = "TRUE") -> str:
@@ -153,9 +158,9 @@ def _daily(where: str = "TRUE") -> str:
 
 def _moving_average() -> str:
     return f"""SELECT sales_date, order_count, units_sold, units_returned, gross_revenue, returns_offset,
-      net_revenue, ROUND(
-        CAST(SUM(CAST(net_revenue AS DECIMAL(28,2))) OVER w AS DOUBLE) / COUNT(*) OVER w, 2) AS net_revenue_7d_ma
-      FROM ({_daily()}) WINDOW w AS (ORDER BY sales_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"""
+      net_revenue, {_hundredths("mean")} AS net_revenue_7d_ma FROM (SELECT *,
+        CAST(SUM(CAST(net_revenue AS DECIMAL(28,2))) OVER w AS DOUBLE) / COUNT(*) OVER w AS mean
+      FROM ({_daily()}) WINDOW w AS (ORDER BY sales_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))"""
 
 
 def _first_last() -> str:
@@ -187,8 +192,7 @@ COUNTRIES = f"""SELECT country, {_orders(SALE)} AS sales_orders,
   {_orders(SALE + " AND customer_id IS NULL")} AS guest_orders, {_units(SALE)} AS units_sold,
   {_money(SALE)} AS gross_revenue, {_money(CANCELLED_KEPT)} AS cancellations_offset,
   {_money(KEPT)} AS net_revenue,
-  ROUND(CAST({_exact(KEPT)} AS DOUBLE)
-    / CAST((SELECT SUM(line_revenue) FROM fact WHERE {KEPT}) AS DOUBLE) * 100, 2) AS pct_of_global_net_revenue
+  {_share(_exact(KEPT), f"(SELECT SUM(line_revenue) FROM fact WHERE {KEPT})")} AS pct_of_global_net_revenue
   FROM fact GROUP BY country"""
 
 
@@ -211,10 +215,11 @@ SPEND = f"""SELECT customer_id, {_orders(SALE)} AS order_count, ROUND({_exact(KE
 
 SUMMARY = f"""SELECT COUNT(*) AS total_identified_customers,
   {_count("order_count > 1")} AS repeat_customers, {_count("order_count = 1")} AS one_time_customers,
-  ROUND(CAST(SUM(net_spend) AS DOUBLE) / COUNT(*), 2) AS avg_spend_per_customer,
+  {_hundredths("(CAST(SUM(net_spend) AS DOUBLE) / COUNT(*))")} AS avg_spend_per_customer,
   {_share(_count("order_count > 1"), "COUNT(*)")} AS repeat_customer_rate_pct FROM ({SPEND})"""
 
-MEDIAN = f"SELECT ROUND(CAST(MEDIAN(CAST(net_spend AS DOUBLE)) AS DOUBLE), 2) AS approx_median_spend FROM ({SPEND})"
+MEDIAN = f"""SELECT {_hundredths("(MEDIAN(CAST(net_spend * 100 AS DOUBLE)) / 100)")} AS approx_median_spend
+  FROM ({SPEND})"""
 
 
 def _anomalies() -> str:
@@ -323,7 +328,7 @@ def _kpis(where: str = "TRUE") -> str:
       COALESCE({_units(CANCELLED_KEPT)}, 0) AS units_returned, {_zero_money(SALE)} AS gross_sales_revenue,
       {_zero_money(CANCELLED_KEPT)} AS cancellations_offset, {_zero_money(BAD_DEBT)} AS bad_debt_adjustments,
       {_zero_money(KEPT)} AS net_revenue, COUNT(DISTINCT customer_id) AS identified_customers,
-      COALESCE(ROUND({_zero_money(SALE)} / NULLIF({_orders(SALE)}, 0), 2), 0.0) AS gross_aov
+      COALESCE({_hundredths(f"({_zero_money(SALE)} / NULLIF({_orders(SALE)}, 0))")}, 0.0) AS gross_aov
       FROM fact WHERE {where}"""
 
 
@@ -531,7 +536,7 @@ CHECKS = {
     ),
     "profile_duplicates": _with(
         f"""SELECT CAST(SUM(n - 1) AS BIGINT) AS duplicate_rows,
-        ROUND(CAST(SUM(n - 1) AS DOUBLE) / CAST(SUM(n) AS DOUBLE) * 100, 2) AS duplicate_pct
+        {_share("SUM(n - 1)", "SUM(n)")} AS duplicate_pct
         FROM (SELECT COUNT(*) AS n FROM raw GROUP BY {", ".join(f'"{c}"' for c in RAW_TYPES)})""",
         RAW,
     ),

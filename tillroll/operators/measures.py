@@ -42,6 +42,12 @@ def or_zero(amount: Column) -> Column:
     return F.coalesce(amount, F.lit(0).cast("bigint"))
 
 
+def to_hundredths(value: Column) -> Column:
+    """Round a DOUBLE to two decimals, half away from zero, the same in every engine."""
+    half_up = F.floor(F.abs(value) * 100 + 0.5)
+    return F.when(value < 0, -half_up).otherwise(half_up) / 100
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as DOUBLE, null when the whole is 0."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

@@ -10,6 +10,7 @@ from tillroll.operators.measures import (
     as_money,
     ratio,
     revenue,
+    to_hundredths,
     units,
 )
 from tillroll.operators.rollup import rollup_with_customers
@@ -42,7 +43,7 @@ def country_analysis(fact: DataFrame, limit: int | None = None) -> DataFrame:
         as_money(F.col("gross")).alias("gross_revenue"),
         as_money(F.col("cancellations")).alias("cancellations_offset"),
         as_money(F.col("net")).alias("net_revenue"),
-        F.round(ratio(F.col("net"), all_net) * 100, 2).alias("pct_of_global_net_revenue"),
+        to_hundredths(ratio(F.col("net"), all_net) * 100).alias("pct_of_global_net_revenue"),
     ).orderBy(F.desc("net_revenue"), "country")
     return countries if limit is None else countries.limit(limit)
 

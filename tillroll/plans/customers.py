@@ -10,6 +10,7 @@ from tillroll.operators.measures import (
     as_money,
     ratio,
     revenue,
+    to_hundredths,
     units,
 )
 from tillroll.operators.quantiles import exact_quantiles
@@ -94,8 +95,8 @@ def customer_summary(fact: DataFrame) -> DataFrame:
         "total_identified_customers",
         "repeat_customers",
         "one_time_customers",
-        F.round(ratio(F.col("spend"), customers), 2).alias("avg_spend_per_customer"),
-        F.round(F.coalesce(ratio(F.col("repeat_customers"), customers) * 100, F.lit(0.0)), 2).alias(
+        to_hundredths(ratio(F.col("spend"), customers)).alias("avg_spend_per_customer"),
+        F.coalesce(to_hundredths(ratio(F.col("repeat_customers"), customers) * 100), F.lit(0.0)).alias(
             "repeat_customer_rate_pct"
         ),
     )
@@ -106,4 +107,4 @@ def customer_median_spend(fact: DataFrame) -> DataFrame:
     pence = (F.col("net_spend") * 100).cast("bigint")
     spend = _spend(fact).select(F.lit("net_spend").alias("name"), pence.alias("value"))
     # The empty aggregate gives a null row when there are no customers.
-    return exact_quantiles(spend, [0.5]).agg(F.round(F.max("quantile") / 100, 2).alias("approx_median_spend"))
+    return exact_quantiles(spend, [0.5]).agg(to_hundredths(F.max("quantile") / 100).alias("approx_median_spend"))

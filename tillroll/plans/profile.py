@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.functions import parsing
 from tillroll.operators.cleaning import standardize_columns
-from tillroll.operators.measures import or_zero, ratio
+from tillroll.operators.measures import or_zero, ratio, to_hundredths
 from tillroll.operators.quantiles import exact_quantiles
 
 ScanSection = tuple[dict[str, Column], Callable[[DataFrame], DataFrame]]
@@ -28,7 +28,7 @@ _QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
 
 def _percent(part: Column, whole: Column) -> Column:
-    return F.coalesce(F.round(ratio(part, whole) * 100, 2), F.lit(0.0))
+    return F.coalesce(to_hundredths(ratio(part, whole) * 100), F.lit(0.0))
 
 
 def _parsed(raw: DataFrame, name: str) -> Column:

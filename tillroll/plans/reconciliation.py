@@ -16,6 +16,7 @@ from tillroll.operators.measures import (
     OTHER_NEGATIVE_QUANTITY,
     ratio,
     revenue,
+    to_hundredths,
 )
 from tillroll.schema import FLAG_COLUMNS
 
@@ -128,7 +129,7 @@ def category_breakdown(fact: DataFrame) -> DataFrame:
     counts = fact.groupBy("transaction_category").agg(F.count(F.lit(1)).alias("n"))
     # One row per category reaches this window, never the fact.
     share = ratio(F.col("n"), F.sum("n").over(Window.partitionBy())) * 100
-    return counts.withColumn("pct", F.round(share, 2)).orderBy(F.desc("n"), "transaction_category")
+    return counts.withColumn("pct", to_hundredths(share)).orderBy(F.desc("n"), "transaction_category")
 
 
 def audit_flags(fact: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def audit_flags(fact: DataFrame) -> DataFrame:
     totals = fact.agg(
         F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(flag) == 1).alias(flag) for flag in FLAG_COLUMNS]
     )
-    share = F.coalesce(F.round(ratio(F.col("count"), F.col("rows")) * 100, 2), F.lit(0.0))
+    share = F.coalesce(to_hundredths(ratio(F.col("count"), F.col("rows")) * 100), F.lit(0.0))
     pairs = [F.struct(F.lit(flag).alias("flag"), F.col(flag).alias("count")) for flag in FLAG_COLUMNS]
     return totals.select("rows", F.inline(F.array(*pairs))).select("flag", "count", share.alias("percentage"))
 

@@ -16,6 +16,7 @@ from tillroll.operators.measures import (
     or_zero,
     ratio,
     revenue,
+    to_hundredths,
     units,
 )
 from tillroll.operators.rollup import rollup, rollup_with_customers
@@ -61,8 +62,8 @@ def sales_overview(fact: DataFrame) -> DataFrame:
         as_money(F.col("cancellations")).alias("cancellations_revenue_offset"),
         as_money(F.col("bad_debt")).alias("bad_debt_adjustments"),
         as_money(F.col("net")).alias("net_revenue"),
-        F.round(ratio(F.col("gross"), F.col("sales_invoices")), 2).alias("gross_aov_per_sales_order"),
-        F.round(ratio(F.col("net"), F.col("kept_invoices")), 2).alias("net_aov_per_distinct_order"),
+        to_hundredths(ratio(F.col("gross"), F.col("sales_invoices"))).alias("gross_aov_per_sales_order"),
+        to_hundredths(ratio(F.col("net"), F.col("kept_invoices"))).alias("net_aov_per_distinct_order"),
     )
 
 
@@ -98,7 +99,7 @@ def monthly_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame
     growth = F.try_divide(F.col("net_revenue") - F.col("prev_month_net_revenue"), F.col("prev_month_net_revenue"))
     return (
         months.withColumn("prev_month_net_revenue", previous)
-        .withColumn("mom_growth_percent", F.round(growth * 100, 2))
+        .withColumn("mom_growth_percent", to_hundredths(growth * 100))
         .orderBy("sales_month")
     )
 
@@ -115,7 +116,7 @@ def daily_moving_average(fact: DataFrame, where: ReportFilter = NO_FILTER) -> Da
     last_seven = Window.orderBy("sales_date").rowsBetween(-6, 0)
     net = F.col("net_revenue").cast("decimal(28,2)")
     mean = ratio(F.sum(net).over(last_seven), F.count(net).over(last_seven))
-    return daily_sales(fact, where).withColumn("net_revenue_7d_ma", F.round(mean, 2)).orderBy("sales_date")
+    return daily_sales(fact, where).withColumn("net_revenue_7d_ma", to_hundredths(mean)).orderBy("sales_date")
 
 
 def first_and_last_days(fact: DataFrame, days: int = 5, where: ReportFilter = NO_FILTER) -> DataFrame:
@@ -165,7 +166,7 @@ def filtered_kpis(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame
         money("net").alias("net_revenue"),
         "identified_customers",
         # The order value is taken from the rounded gross, as shown next to it.
-        F.coalesce(F.round(ratio(money("gross"), F.col("sales_invoices")), 2), F.lit(0.0)).alias("gross_aov"),
+        F.coalesce(to_hundredths(ratio(money("gross"), F.col("sales_invoices"))), F.lit(0.0)).alias("gross_aov"),
     )
 
 
