@@ -1,5 +1,5 @@
 import pytest
-from samples import LOADED, dicts, line, only, raw_frame
+from samples import LOADED, line, only, raw_frame
 
 from pyspark.sql import functions as F
 
