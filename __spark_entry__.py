@@ -31,6 +31,14 @@ from tillroll.plans.etl import run_etl  # noqa: E402
 from tillroll.schema import FLAG_COLUMNS, RAW_TO_FACT  # noqa: E402
 from tillroll.sources.orders import retail_lines  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    from tillroll.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tillroll.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AUDITED = [*RAW_TO_FACT.values(), *FLAG_COLUMNS, "transaction_category"]
@@ -118,6 +126,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every report and check; each takes the session and the folder of the tables."""
+    return _retail_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def _retail_queries() -> dict[str, Query]:
     return {
         "clean_transactions": _on_fact(_clean_transactions),
         "category_breakdown": _on_fact(reconciliation.category_breakdown),
@@ -180,4 +192,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """For every query the SQL that must give the same rows in DuckDB."""
-    return dict(CHECKS)
+    return CHECKS | (llm.SQL if llm else {})
