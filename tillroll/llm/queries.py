@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, packing
+from tillroll.llm import bpe, chat, packing, sharding, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,12 +15,25 @@ MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 CAPACITY = 2048
+SHARDS = [f"shard-{i:02}" for i in range(32)]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(table(spark, folder, "documents").select("doc_id"), SHARDS)
+
+
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(
+        [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))], conversations.schema
+    )
+    return chat.read_back(chat.chat_examples(conversations.unionByName(own)))
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, folder, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
@@ -30,8 +43,13 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_sharding": op2_sharding,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_sharding": sql.SHARDING,
+    "op5_chat_formatting": sql.CHAT,
+}
