@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, chat, packing, sharding, sql
+from tillroll.llm import bpe, chat, jaccard, packing, sharding, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,10 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents").select("doc_id"), SHARDS)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents"))
+
+
 def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame(
@@ -44,6 +48,7 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
