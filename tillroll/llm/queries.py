@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, chat, jaccard, packing, sharding, sql
+from tillroll.llm import bpe, chat, fingerprints, jaccard, packing, sharding, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.bpe_round_trip(table(spark, folder, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, CAPACITY)
 
@@ -51,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_fingerprints": op7_fingerprints,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
