@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, chat, fingerprints, jaccard, packing, sharding, sql
+from tillroll.llm import bpe, chat, fingerprints, jaccard, packing, quality, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,10 +22,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents").select("doc_id"), SHARDS)
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents"))
 
@@ -51,7 +59,9 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
