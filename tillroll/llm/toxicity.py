@@ -19,14 +19,14 @@ from tillroll.llm.labelled import held_out, training_texts
 from tillroll.llm.storage import checkpointed
 
 #: Labelled documents to learn from, at most, and the tasks they are dealt to.
-TRAINING_ROWS = 20_000
-TRAINING_TASKS = 24
+TRAINING_ROWS = 10_000
+TRAINING_TASKS = 12
 THRESHOLD = 0.5
 ORDERS = (3, 4, 5, 6)
 BUCKET_BITS = 20
 #: A feature takes part if so many training texts hold it and its log-count ratio is so far from 0.
 LEAST_TEXTS = 5
-LEAST_RATIO = 1.0
+LEAST_RATIO = 1.5
 #: Characters hashed at once, so that long texts need little memory.
 WINDOW = 1 << 18
 
@@ -49,6 +49,13 @@ def ngram_buckets(text: str) -> np.ndarray:
     return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
+def _distinct(buckets: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+    """Each bucket once; scratch has a place for every bucket, and what it holds doesn't matter."""
+    at = np.arange(len(buckets), dtype=scratch.dtype)
+    scratch[buckets] = at
+    return buckets[scratch[buckets] == at]
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     """weights: weight times ratio for each bucket; empty if nothing could be learned."""
@@ -77,7 +84,7 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labe
         return np.append(np.bincount(columns, values * x[rows], features), x.sum())
 
     penalty = np.append(np.full(features, ridge), 1e-6)
-    for _ in range(25):
+    for _ in range(12):
         chance = 1 / (1 + np.exp(-np.clip(times(weights), -30, 30)))
         slope = back(labels - chance) - penalty * weights
         if np.abs(slope).max() < 1e-4:
@@ -85,7 +92,7 @@ def fit_logistic(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, labe
         curve = chance * (1 - chance)
         step, rest = np.zeros_like(weights), slope.copy()
         direction, size = rest.copy(), rest @ rest
-        for _ in range(40):
+        for _ in range(25):
             bent = back(curve * times(direction)) + penalty * direction
             share = size / (direction @ bent)
             step += share * direction
@@ -115,9 +122,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     def count(batches):
         seen = np.zeros((2, 1 << BUCKET_BITS), np.int32)
+        scratch = np.empty(1 << BUCKET_BITS, np.int32)
         for batch in batches:
             for value, kind in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-                seen[kind, np.unique(ngram_buckets(value or ""))] += 1
+                seen[kind, _distinct(ngram_buckets(value or ""), scratch)] += 1
         at = np.flatnonzero(seen.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])], names=["bucket", "others", "toxic"])
 
