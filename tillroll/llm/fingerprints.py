@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.shingles import shingle_sets
+from tillroll.llm.shingles import shingle_sets, sliced
 
 #: One in so many shingles is kept.
 SCALE = 4
@@ -72,7 +72,7 @@ def fingerprints(frame: DataFrame, text: str = "text", scale: int = SCALE) -> Da
     schema = T.StructType([*frame.schema.fields, T.StructField("fingerprint", T.StringType(), False)])
 
     def add(batches):
-        for batch in batches:
+        for batch in sliced(batches, text):
             own = [Fingerprint(x, scale).text for x in shingle_sets(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string())], names=schema.names)
 
@@ -170,7 +170,7 @@ def edited_fingerprints(frame: DataFrame, key: str = "doc_id", text: str = "text
 
 def _documents(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[list[tuple]]:
     """Batches of (range, copied, key, text, fingerprint)."""
-    for batch in batches:
+    for batch in sliced(batches, "text"):
         prints = [Fingerprint(x, scale) for x in shingle_sets(batch.column("text"))]
         columns = [batch.column(c).to_pylist() for c in ("range", "copied", "key", "text")]
         yield list(zip(*columns, prints, strict=True))

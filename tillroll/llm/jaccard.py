@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.graph import components
-from tillroll.llm.shingles import shingle_sets
+from tillroll.llm.shingles import shingle_sets, sliced
 from tillroll.llm.storage import checkpointed
 
 #: Counts in the table of frequencies, one byte each when sent to workers.
@@ -53,7 +53,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
     def describe(batches):
         met: set[int] = set()
         seen = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             ids, sizes, parts, new = [], [], [], []
             for hashes in shingle_sets(batch.column("text")):
                 sizes.append(len(hashes))
@@ -115,7 +115,7 @@ def _prefixes(frame: DataFrame, text: str, frequencies: bytes, percent: int) ->
     def ordered(batches):
         level_of = np.frombuffer(frequencies, np.uint8)
         met: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches, 0):
             keys, ids, sizes, places = [], [], [], []
             for hashes in shingle_sets(batch.column(0)):
                 n = len(hashes)
@@ -178,7 +178,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, frame: DataFrame, text: str, pe
     def whole(batches):
         marks = np.unpackbits(np.frombuffer(packed, np.uint8))
         met: set[int] = set()
-        for batch in batches:
+        for batch in sliced(batches, 0):
             ids, found = [], []
             for hashes in shingle_sets(batch.column(0)):
                 if not len(hashes) or not marks[(own := _set_id(hashes)) & bits] or own in met:

@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WORDS = 5
 #: Bytes of text hashed at once; some fifty bytes of memory for each.
@@ -82,6 +83,16 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int | str, size: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in smaller batches: about `size` bytes of text, or one row."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        group = np.cumsum(lengths, dtype=np.int64) // size
+        starts = np.flatnonzero(np.diff(group, prepend=-1))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(group)], strict=True):
+            yield batch.slice(start, end - start)
+
+
 def _text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and the places between them; a null text is empty."""
     texts = texts.cast(pa.large_binary())
