@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import bpe, chat, fingerprints, jaccard, packing, quality, sharding, sql, toxicity
+from tillroll.llm import bpe, chat, fingerprints, jaccard, lattice, packing, quality, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,10 @@ def op7_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lattice.similar_vectors(table(spark, folder, "embeddings"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, CAPACITY)
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op5_chat_formatting": op5_chat_formatting,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_fingerprints": op7_fingerprints,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
