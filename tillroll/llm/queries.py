@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import bpe, chat, fingerprints, jaccard, lattice, packing, quality, sharding, sql, toxicity
+from tillroll.llm import bpe, chat, fingerprints, html_content, jaccard, lattice, packing, quality, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,12 @@ def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lattice.similar_vectors(table(spark, folder, "embeddings"))
 
 
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    texts = html_content.extract_main_text(pages, html_content.train(pages))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, CAPACITY)
 
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_fingerprints": op7_fingerprints,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
