@@ -228,6 +228,19 @@ def similar_documents(frame: DataFrame, key: str = "doc_id", text: str = "text",
     return with_set.unionByName(without)
 
 
+def keep_one(frame: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75) -> DataFrame:
+    """Of each group of similar documents the one of the smallest key, with the columns it came with.
+
+    Documents without shingles all stay, as do rows with a null key in a group
+    of their own. Of rows that repeat the key of a kept document and its text,
+    one stays.
+    """
+    kept = similar_documents(frame, key, text, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    own = frame.withColumn("_text_hash", F.xxhash64(text))
+    same = own.join(kept, F.col(key) == F.col("_kept"), "left_semi").dropDuplicates([key, "_text_hash"])
+    return same.unionByName(own.where(F.col(key).isNull())).select(*frame.columns)
+
+
 def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percent: int) -> DataFrame:
     """node, component of all classes that are linked with another one."""
     dealt = rows.repartition("part")
