@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 WORDS = 5
 #: Bytes of text hashed at once; some fifty bytes of memory for each.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240607))
 _OF_BYTE = _RANDOM.integers(1, 2**64, 256, np.uint64)
@@ -34,7 +34,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, 2**bits each."""
     out = []
@@ -47,7 +47,7 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of data, and where each begins; starts: where documents begin, besides 0."""
-    power, inverse = _powers(max(1, (len(data) - 1).bit_length()))
+    power, inverse = _powers(max(SLICE_BYTES, len(data)).bit_length())
     space = _SPACE[data]
     gap = np.empty(len(data), bool)
     gap[0] = True
@@ -83,7 +83,7 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: int | str, size: int = 4 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def sliced(batches: Iterator[pa.RecordBatch], column: int | str, size: int = 8 * SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows in smaller batches: about `size` bytes of text, or one row."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
