@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from duckdb_checks import CHECKS  # noqa: E402
-from tillroll.operators.cleaning import standardize_columns, to_fact, transform_retail  # noqa: E402
+from tillroll.operators.cleaning import (  # noqa: E402
+    clean_text_fields,
+    convert_data_types,
+    standardize_columns,
+    to_fact,
+    transform_retail,
+)
 from tillroll.operators.filters import ReportFilter  # noqa: E402
 from tillroll.plans import (  # noqa: E402
     anomalies,
@@ -29,7 +34,7 @@ from tillroll.plans import (  # noqa: E402
 )
 from tillroll.plans.etl import run_etl  # noqa: E402
 from tillroll.schema import FLAG_COLUMNS, RAW_TO_FACT  # noqa: E402
-from tillroll.sources.orders import retail_lines  # noqa: E402
+from tillroll.sources.orders import retail_lines, text_lines  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -82,41 +87,111 @@ def _revenue_mismatches(raw: DataFrame) -> DataFrame:
     return wrong.agg(F.count(F.lit(1)).alias("mismatches"))
 
 
+def _with_wrong_revenue(transformed: DataFrame) -> DataFrame:
+    """Revenue is one too high wherever seven divides the quantity."""
+    off = F.when(F.col("Quantity") % 7 == 0, 1).otherwise(0)
+    return transformed.withColumn("LineRevenue", F.col("LineRevenue") + off)
+
+
+def _untidy_revenue_mismatches(raw: DataFrame) -> DataFrame:
+    wrong = validation.revenue_mismatches(_with_wrong_revenue(transform_retail(raw)))
+    return wrong.agg(F.count(F.lit(1)).alias("mismatches"))
+
+
+def _untidy_lines(text: DataFrame) -> DataFrame:
+    """Every untidy line, cleaned and typed, under the names of the fact."""
+    typed = convert_data_types(clean_text_fields(standardize_columns(text)))
+    names = {raw: name for raw, name in RAW_TO_FACT.items() if raw in typed.columns}
+    lines = _with_text_dates(typed.withColumnsRenamed(names), "invoice_date", "unit_price")
+    return lines.withColumn("is_missing_description", F.col("is_missing_description").cast("int"))
+
+
+def _validation_summary(text: DataFrame) -> DataFrame:
+    return validation.validation_summary(standardize_columns(text), _with_wrong_revenue(transform_retail(text)))
+
+
 def _row_counts(raw: DataFrame) -> DataFrame:
     return validation.row_counts(standardize_columns(raw), transform_retail(raw))
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A folder all executors can reach; a machine-local one only for local runs."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/tillroll-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tillroll-")
-    raise ValueError("Set spark.checkpoint.dir to a folder that every executor can reach.")
+def _on_text(report: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: report(text_lines(spark, folder))
+
+
+def _in_work_folder(spark: SparkSession, work: Callable[[str], DataFrame]) -> DataFrame:
+    """The few rows that work finds with a new folder of its own, which is then removed.
+
+    The folder lies in spark.checkpoint.dir or, where that is unset, in the
+    warehouse: every executor reaches either.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tillroll-{uuid.uuid4().hex}")
+    try:
+        found = work(path.toString())
+        return spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _publish_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Load the fact table, then read the published version back."""
-    table = _shared_folder(spark)
-    publish.load_transformed(transform_retail(retail_lines(spark, folder)), table)
-    invoices = publish.read_fact(spark, table).groupBy("sales_month", "invoice_no")
-    totals = invoices.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_revenue").alias("revenue"))
-    return totals.groupBy("sales_month").agg(
-        F.sum("lines").alias("lines"),
-        F.count("invoice_no").alias("invoices"),
-        F.sum("revenue").cast("double").alias("revenue"),
-    )
+    """Load the fact table, then read the published version back, one row for each month."""
+
+    def work(table: str) -> DataFrame:
+        publish.load_transformed(transform_retail(retail_lines(spark, folder)), table)
+        invoices = publish.read_fact(spark, table).groupBy("sales_month", "invoice_no")
+        totals = invoices.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_revenue").alias("revenue"))
+        return totals.groupBy("sales_month").agg(
+            F.sum("lines").alias("lines"),
+            F.count("invoice_no").alias("invoices"),
+            F.sum("revenue").cast("double").alias("revenue"),
+        )
+
+    return _in_work_folder(spark, work)
+
+
+def _append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the fact table, append the same lines again, read both back, one row for each month."""
+
+    def work(table: str) -> DataFrame:
+        for full_refresh in (True, False):
+            publish.load_transformed(transform_retail(retail_lines(spark, folder)), table, full_refresh)
+        ids = publish.read_fact(spark, table).groupBy("sales_month", "line_id")
+        totals = ids.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_revenue").alias("revenue"))
+        return totals.groupBy("sales_month").agg(
+            F.sum("lines").alias("lines"),
+            F.count("line_id").alias("line_ids"),
+            F.sum("revenue").cast("double").alias("revenue"),
+        )
+
+    return _in_work_folder(spark, work)
+
+
+def _user_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """A user's SQL over the published fact, one row for each country."""
+
+    def work(table: str) -> DataFrame:
+        publish.load_transformed(transform_retail(retail_lines(spark, folder)), table)
+        text = """SELECT country, COUNT(*) AS sales FROM retail_transactions
+                  WHERE is_normal_sale = ? AND quantity > ? GROUP BY country"""
+        return publish.execute_query(spark, table, text, [1, 10])
+
+    return _in_work_folder(spark, work)
 
 
 def _load_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Write the raw lines as CSV, run the whole job on them, audit what it published."""
-    base = _shared_folder(spark)
-    raw_path, table = f"{base}/raw.csv", f"{base}/fact"
-    kept_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    retail_lines(spark, folder).write.options(header=True, escape='"', **kept_blanks).csv(raw_path)
-    run_etl(spark, raw_path, table)
-    return reconciliation.load_audit(publish.read_fact(spark, table))
+    """Write the raw lines as CSV, with line breaks and quotes inside fields, run the whole job on them, audit the fact."""
+
+    def work(base: str) -> DataFrame:
+        raw_path, table = f"{base}/raw.csv", f"{base}/fact"
+        raw = retail_lines(spark, folder)
+        longer = F.concat("Description", F.lit('\nsaid "again", twice'))
+        raw = raw.withColumn("Description", F.when(F.col("InvoiceNo").startswith("C"), longer).otherwise(F.col("Description")))
+        kept_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+        raw.write.options(header=True, escape='"', quoteAll=True, **kept_blanks).csv(raw_path)
+        run_etl(spark, raw_path, table, multi_line=True)
+        return reconciliation.load_audit(publish.read_fact(spark, table))
+
+    return _in_work_folder(spark, work)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -126,10 +201,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every report and check; each takes the session and the folder of the tables."""
-    return _retail_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+    return retail_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
-def _retail_queries() -> dict[str, Query]:
+def retail_queries() -> dict[str, Query]:
+    """The queries that need no more than the library itself."""
     return {
         "clean_transactions": _on_fact(_clean_transactions),
         "category_breakdown": _on_fact(reconciliation.category_breakdown),
@@ -185,6 +261,15 @@ def _retail_queries() -> dict[str, Query]:
             lambda fact: customers.customer_analysis(fact, limit=20), display.CUSTOMER_DISPLAY
         ),
         "anomalies_display": _shown(anomalies.returns_and_cancellations, display.ANOMALY_DISPLAY),
+        "untidy_lines": _on_text(_untidy_lines),
+        "untidy_parse_failures": _on_text(profile.parse_failures),
+        "untidy_not_null_violations": _on_text(
+            lambda text: validation.not_null_violations(to_fact(transform_retail(text)))
+        ),
+        "untidy_revenue_mismatches": _on_raw(_untidy_revenue_mismatches),
+        "validation_summary": _on_text(_validation_summary),
+        "append_roundtrip": _append_roundtrip,
+        "user_sql": _user_sql,
         "publish_roundtrip": _publish_roundtrip,
         "load_job": _load_job,
     }

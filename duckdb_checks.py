@@ -47,7 +47,7 @@ cleaned AS (
   SELECT trim("InvoiceNo") AS invoice_no, trim("StockCode") AS stock_code,
          COALESCE(trim("Description"), 'UNSPECIFIED') AS description,
          "Quantity" AS quantity, CAST("InvoiceDate" AS TIMESTAMP) AS invoice_date,
-         "UnitPrice" AS unit_price, CAST("CustomerID" AS BIGINT) AS customer_id, trim("Country") AS country,
+         CAST("UnitPrice" AS DECIMAL(18,6)) AS unit_price, CAST("CustomerID" AS BIGINT) AS customer_id, trim("Country") AS country,
          CAST("Description" IS NULL OR trim("Description") = '' AS INT) AS is_missing_description
   FROM raw
 ),
@@ -58,7 +58,7 @@ numbered AS (
   FROM cleaned
 ),
 flagged AS (
-  SELECT *, CAST(quantity * unit_price AS DECIMAL(18,4)) AS line_revenue,
+  SELECT *, CAST(quantity * unit_price AS DECIMAL(30,6)) AS line_revenue,
          CAST(occurrence > 1 AS INT) AS is_duplicate,
          CAST(invoice_no LIKE 'C%' AS INT) AS is_cancelled,
          CAST(quantity < 0 AS INT) AS is_negative_quantity, CAST(quantity = 0 AS INT) AS is_zero_quantity,
@@ -454,6 +454,35 @@ ANOMALIES_DISPLAY = f"""SELECT anomaly_category AS "Anomaly Category", {_number(
   {_currency("net_revenue_impact")} AS "Net Revenue Impact", observed_behavior AS "Empirical Observation"
   FROM ({_anomalies()})"""
 
+# The lines of the untidy file as cleaning must see them, told by the key that decides about each line.
+TIDIED = (
+    RAW.replace(" * EXCLUDE (k)", " *")
+    + """,
+tidied AS (
+  SELECT k, CASE WHEN k % 73 <> 0 THEN "InvoiceNo" END AS invoice_no, "StockCode" AS stock_code,
+    CASE WHEN k % 79 = 0 THEN '' ELSE COALESCE(trim("Description"), 'UNSPECIFIED') END AS description,
+    CASE WHEN k % 37 <> 0 AND (k % 41 = 0 OR k % 43 = 0) THEN 0 ELSE "Quantity" END AS quantity,
+    CASE WHEN k % 71 = 0 THEN NULL
+         WHEN k % 29 = 0 THEN date_trunc('day', CAST("InvoiceDate" AS TIMESTAMP))
+         WHEN k % 31 = 0 THEN date_trunc('minute', CAST("InvoiceDate" AS TIMESTAMP))
+         WHEN k % 19 = 0 THEN date_trunc('day', CAST("InvoiceDate" AS TIMESTAMP))
+         ELSE date_trunc('second', CAST("InvoiceDate" AS TIMESTAMP)) END AS invoice_date,
+    CASE WHEN k % 47 = 0 THEN 0.0 WHEN k % 83 = 0 THEN 123456789.0 WHEN k % 89 = 0 THEN 0.00001
+         ELSE CAST("UnitPrice" AS DOUBLE) END AS unit_price,
+    CASE WHEN k % 59 <> 0 THEN CAST("CustomerID" AS BIGINT) END AS customer_id, "Country" AS country,
+    CAST(k % 79 = 0 OR "Description" IS NULL OR trim("Description") = '' AS INT) AS is_missing_description
+  FROM raw
+)
+"""
+)
+UNREADABLE = {
+    "Quantity": "k % 41 = 0 AND k % 37 <> 0",
+    "InvoiceDate": "k % 71 = 0",
+    "UnitPrice": "k % 47 = 0",
+    "CustomerID": "k % 59 = 0",
+}
+INCOMPLETE = {"invoice_no": "k % 73 = 0", "invoice_date": "k % 71 = 0"}
+
 DATES = "strftime(invoice_date, '%Y-%m-%d') BETWEEN '1996-03-15' AND '1997-02-10'"
 REQUIRED = [c for c in FACT_COLUMNS if c not in ("description", "customer_id")]
 
@@ -578,6 +607,41 @@ CHECKS = {
     "customers_display": _with(CUSTOMERS_DISPLAY),
     "anomalies_display": _with(ANOMALIES_DISPLAY),
     "load_job": _with(LOAD_AUDIT),
+    "untidy_lines": _with(
+        """SELECT invoice_no, stock_code, description, quantity, strftime(invoice_date, '%Y-%m-%d %H:%M:%S') AS invoice_date,
+        unit_price, customer_id, country, is_missing_description FROM tidied""",
+        TIDIED,
+    ),
+    "untidy_parse_failures": _with(
+        _rows(
+            list(UNREADABLE),
+            lambda c: f"SELECT '{c}' AS \"column\", {_count(UNREADABLE[c])} AS unreadable",
+            "tidied",
+        ),
+        TIDIED,
+    ),
+    "untidy_not_null_violations": _with(
+        _rows(
+            REQUIRED,
+            lambda c: f"SELECT '{c}' AS \"column\", {_count(INCOMPLETE.get(c, 'FALSE'))} AS null_count",
+            "tidied",
+        ),
+        TIDIED,
+    ),
+    "untidy_revenue_mismatches": _with(f"SELECT {_count('quantity % 7 = 0')} AS mismatches FROM fact"),
+    "validation_summary": _with(
+        f"""SELECT COUNT(*) AS rows_before, COUNT(*) AS rows_after, CAST(0 AS BIGINT) AS difference,
+        {_count("quantity % 7 = 0")} AS wrong_revenue,
+        {_count(" OR ".join(INCOMPLETE.values()))} AS incomplete_lines FROM tidied""",
+        TIDIED,
+    ),
+    "append_roundtrip": _with(
+        """SELECT sales_month, 2 * COUNT(*) AS lines, 2 * COUNT(*) AS line_ids,
+        CAST(2 * SUM(line_revenue) AS DOUBLE) AS revenue FROM fact GROUP BY sales_month"""
+    ),
+    "user_sql": _with(
+        "SELECT country, COUNT(*) AS sales FROM fact WHERE is_normal_sale = 1 AND quantity > 10 GROUP BY country"
+    ),
     "publish_roundtrip": _with(
         """SELECT sales_month, COUNT(*) AS lines, COUNT(DISTINCT invoice_no) AS invoices,
         CAST(SUM(line_revenue) AS DOUBLE) AS revenue FROM fact GROUP BY sales_month"""

@@ -67,7 +67,7 @@ def test_blank_description_is_flagged_but_not_renamed(spark):
 @pytest.mark.parametrize(
     "text, number",
     [("6", 6), (" -7 ", -7), ("1.7", 1), ("-1.7", -1), ("1e3", 1000), ("x", 0), ("", 0), (None, 0), ("1d", 0),
-     ("NaN", 0), ("Infinity", 0), ("9007199254740993", 9007199254740993)],
+     ("NaN", 0), ("Infinity", 0), ("9007199254740993", 9007199254740993), ("1e19", None)],
 )
 def test_quantity(spark, text, number):
     assert cleaned(spark, [text_line(Quantity=text)]).first().Quantity == number
@@ -75,10 +75,11 @@ def test_quantity(spark, text, number):
 
 @pytest.mark.parametrize(
     "text, price",
-    [("2.55", "2.55"), ("-11062.06", "-11062.06"), ("0.12345", "0.1235"), ("x", "0"), (None, "0"), ("100000000", "0")],
+    [("2.55", "2.55"), ("-11062.06", "-11062.06"), ("0.12345", "0.12345"), ("x", "0"), (None, "0"),
+     ("123456789.0", "123456789"), ("0.00001", "0.00001"), ("0.0000", "0"), ("1e12", None), ("0.0000001", None)],
 )
 def test_price(spark, text, price):
-    assert cleaned(spark, [text_line(UnitPrice=text)]).first().UnitPrice == Decimal(price)
+    assert cleaned(spark, [text_line(UnitPrice=text)]).first().UnitPrice == (price and Decimal(price))
 
 
 @pytest.mark.parametrize("text, customer", [("17850.0", 17850), ("17850", 17850), ("abc", None), (None, None)])
@@ -93,6 +94,12 @@ def test_customer(spark, text, customer):
         ("2010-12-01T08:26:00", datetime(2010, 12, 1, 8, 26)),
         ("2010-12-01", datetime(2010, 12, 1)),
         ("12/1/2010 8:26", datetime(2010, 12, 1, 8, 26)),
+        ("2011/01/05", datetime(2011, 1, 5)),
+        ("2011/1/5 9:05:07", datetime(2011, 1, 5, 9, 5, 7)),
+        ("5-Jan-2011", datetime(2011, 1, 5)),
+        ("05 September 2011 08:26", datetime(2011, 9, 5, 8, 26)),
+        ("5-Foo-2011", None),
+        ("31-Feb-2011", None),
         ("2010-13-01", None),
         ("soon", None),
         (None, None),
@@ -176,6 +183,27 @@ def test_many_copies_are_written_out_in_blocks(spark):
     assert sum(r.is_missing_description for r in found) == 2
 
 
+def test_blocks_of_a_hot_line_are_spread_before_their_copies_are_written_out(spark):
+    hot = spark.range(300_000).select(
+        *[F.lit("hot").alias(name) for name in ("InvoiceNo", "StockCode", "Description")],
+        F.lit(1).alias("Quantity"),
+        F.lit("2011-01-01").alias("InvoiceDate"),
+        F.lit(1.0).alias("UnitPrice"),
+        F.lit(None).cast("bigint").alias("CustomerID"),
+        F.lit("UK").alias("Country"),
+    )
+    found = transform_retail(hot, spread=lambda blocks: blocks.repartition(8))
+    tasks = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 300_000 and len(tasks) >= 6
+    assert found.select("occurrence").distinct().count() == 300_000
+
+
+def test_a_product_beyond_its_type_is_null_and_stops_a_load(spark):
+    lines = [text_line(Quantity="9" * 18, UnitPrice="9" * 11), text_line(Quantity="9" * 12, UnitPrice="99999.0")]
+    rows = calculate_line_revenue(cleaned(spark, lines)).collect()
+    assert [r.LineRevenue for r in rows] == [None, Decimal("9" * 12) * 99999]
+
+
 def test_a_third_of_all_rows_in_one_group(spark):
     rows = spark.range(90_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("InvoiceNo"),

@@ -120,3 +120,32 @@ def test_profile_follows_a_changed_file(spark, paths, tmp_path):
         (tmp_path / "raw.csv").write_text(lines)
         run_etl(spark, raw, table, profile_path=str(tmp_path / "profile"))
     assert spark.read.parquet(str(tmp_path / "profile" / "size")).first().rows == 5
+
+
+def test_line_breaks_inside_quotes_can_be_loaded(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    path.write_text(CSV + '536368,1,"two\nlines, ""quoted""",1,2010-12-01 10:00:00,1.0,,France\n')
+    assert run_etl(spark, str(path), str(tmp_path / "fact"), multi_line=True).loaded_rows == 5
+    descriptions = {r.description for r in read_fact(spark, str(tmp_path / "fact")).collect()}
+    assert 'two\nlines, "quoted"' in descriptions
+
+
+@pytest.mark.parametrize("line", ["536368,1,d,1,2010-12-01 10:00:00,1.0,,France,junk", "536368,1,d,1,2010-12-01 10:00:00,1.0"])
+def test_lines_with_other_numbers_of_fields_are_refused(spark, tmp_path, line):
+    path = tmp_path / "fields.csv"
+    path.write_text(CSV + line + "\n")
+    with pytest.raises(EtlError, match="extract"):
+        run_etl(spark, str(path), str(tmp_path / "fact"))
+
+
+def test_large_and_small_prices_are_loaded_and_what_cannot_be_held_is_refused(spark, tmp_path):
+    path, table = tmp_path / "prices.csv", str(tmp_path / "fact")
+    line = "536368,1,d,2,2010-12-01 10:00:00,{},,France\n"
+    path.write_text(CSV + line.format("123456789.0") + line.format("0.00001") + line.format("n/a"))
+    audit = run_etl(spark, str(path), table).audit
+    assert (audit["normal_sales"], audit["unreadable_UnitPrice"], audit["beyond_UnitPrice"]) == (4, 1, 0)
+    assert read_fact(spark, table).where("line_revenue = 246913578").count() == 1
+    path.write_text(CSV + line.format("1e13"))
+    with pytest.raises(EtlError, match="Required columns hold nulls: {'unit_price': 1"):
+        run_etl(spark, str(path), table)
+    assert read_fact(spark, table).count() == 7

@@ -93,3 +93,14 @@ def test_users_sql_runs_over_the_published_fact(spark, table):
     count = "SELECT COUNT(*) AS n FROM retail_transactions WHERE is_normal_sale = 1 AND country = "
     assert only(publish.execute_query(spark, table, count + ":country", {"country": "France"})) == {"n": 1}
     assert only(publish.execute_query(spark, table, count + "?", ["Spain"])) == {"n": 0}
+    assert not spark.catalog.tableExists("retail_transactions")
+
+
+def test_a_view_of_the_user_is_left_to_them(spark, table):
+    publish.load_transformed(transformed(spark), table)
+    spark.range(3).createOrReplaceTempView("retail_transactions")
+    try:
+        assert only(publish.execute_query(spark, table, "SELECT COUNT(*) AS n FROM retail_transactions")) == {"n": 5}
+        assert spark.table("retail_transactions").columns == ["id"]
+    finally:
+        spark.catalog.dropTempView("retail_transactions")

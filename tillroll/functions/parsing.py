@@ -17,6 +17,11 @@ WHITESPACE = (
 
 # Month-first dates as spreadsheets export them, e.g. 12/1/2010 8:26.
 _US_DATE = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
+# Year-first dates with slashes, and days before the month's name: 2011/01/05, 5-Jan-2011, 05 January 2011 8:26.
+_SLASHED = r"^(\d{4})/(\d{1,2})/(\d{1,2})"
+_NAMED_MONTH = r"^(\d{1,2})[ -]([A-Za-z]{3,9})\.?[ -](\d{4})"
+# Fixed value: English months, the first three letters of each.
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def strip(column: Column) -> Column:
@@ -53,16 +58,46 @@ def parse_whole_number(column: Column, dtype: T.DataType) -> Column:
 
 
 def parse_price(column: Column, dtype: T.DataType) -> Column:
-    """DECIMAL(12,4); unreadable or too large values give null."""
-    if isinstance(dtype, T.NumericType):
-        return column.try_cast(PRICE_TYPE)
-    return _numeric_text(column).try_cast(PRICE_TYPE)
+    """PRICE_TYPE; unreadable values give null, and so do those that is_beyond_price finds."""
+    number = column if isinstance(dtype, T.NumericType) else _numeric_text(column)
+    price = number.try_cast(PRICE_TYPE)
+    return F.when((price != 0) | (number.try_cast("double") == 0), price)
+
+
+def is_beyond_price(column: Column, dtype: T.DataType) -> Column:
+    """Whether a value is a finite number that PRICE_TYPE cannot hold: 10^12 or more, or rounded to nothing."""
+    number = (column if isinstance(dtype, T.NumericType) else _numeric_text(column)).try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    return finite & parse_price(column, dtype).isNull()
+
+
+def is_beyond_whole_number(column: Column, dtype: T.DataType) -> Column:
+    """Whether a value is a finite number too large for BIGINT."""
+    if isinstance(dtype, T.IntegralType):
+        return F.lit(False)
+    number = (column if isinstance(dtype, T.NumericType) else _numeric_text(column)).try_cast("double")
+    finite = number.isNotNull() & ~F.isnan(number) & (F.abs(number) < float("inf"))
+    return finite & parse_whole_number(column, dtype).isNull()
 
 
 def parse_timestamp(column: Column, dtype: T.DataType) -> Column:
-    """TIMESTAMP_NTZ from ISO or month-first text; unreadable text gives null."""
+    """TIMESTAMP_NTZ from ISO, month-first or named-month text; unreadable text gives null."""
     if isinstance(dtype, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return column.cast("timestamp_ntz")
     text = strip(column.cast("string"))
     iso = F.when(text.rlike(_US_DATE), F.regexp_replace(text, _US_DATE, "$3-$1-$2"))
-    return F.coalesce(iso, text).try_cast("timestamp_ntz")
+    slashed = F.when(text.rlike(_SLASHED), F.regexp_replace(text, _SLASHED, "$1-$2-$3"))
+    letters = F.lower(F.substring(F.regexp_extract(text, _NAMED_MONTH, 2), 1, 3))
+    place = F.instr(F.lit(_MONTHS), letters)
+    named = F.when(
+        text.rlike(_NAMED_MONTH) & (F.pmod(place, F.lit(3)) == 1),
+        F.concat(
+            F.regexp_extract(text, _NAMED_MONTH, 3),
+            F.lit("-"),
+            ((place + 2) / 3).cast("int").cast("string"),
+            F.lit("-"),
+            F.regexp_extract(text, _NAMED_MONTH, 1),
+            F.regexp_replace(text, _NAMED_MONTH, ""),
+        ),
+    )
+    return F.coalesce(iso, slashed, named, text).try_cast("timestamp_ntz")

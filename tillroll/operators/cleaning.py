@@ -1,5 +1,6 @@
 """Cleaning and classification of raw retail lines; no row is ever dropped."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -12,6 +13,7 @@ from tillroll.schema import (
     FLAG_COLUMNS,
     MISSING_DESCRIPTION,
     OTHER_CATEGORY,
+    PRICE_TYPE,
     RAW_COLUMNS,
     RAW_TO_FACT,
     REVENUE_TYPE,
@@ -46,25 +48,33 @@ def clean_text_fields(lines: DataFrame) -> DataFrame:
 
 
 def convert_data_types(lines: DataFrame) -> DataFrame:
-    """Type the columns: unreadable quantity and price become 0, dates and customers null."""
+    """Type the columns: unreadable quantity and price become 0, dates and customers null.
+
+    A quantity or price that is a number but beyond its type becomes null, so
+    that a load refuses it instead of publishing it as 0.
+    """
 
     def parsed(name, parse):
         return parse(F.col(name), lines.schema[name].dataType)
 
-    zero_price = F.lit(0).cast("decimal(12,4)")
+    def or_none(name, parse, beyond, zero):
+        return F.when(~parsed(name, beyond), F.coalesce(parsed(name, parse), zero))
+
+    whole = or_none("Quantity", parsing.parse_whole_number, parsing.is_beyond_whole_number, F.lit(0).cast("bigint"))
+    price = or_none("UnitPrice", parsing.parse_price, parsing.is_beyond_price, F.lit(0).cast(PRICE_TYPE))
     return lines.withColumns(
         {
-            "Quantity": F.coalesce(parsed("Quantity", parsing.parse_whole_number), F.lit(0).cast("bigint")),
+            "Quantity": whole,
             "InvoiceDate": parsed("InvoiceDate", parsing.parse_timestamp),
-            "UnitPrice": F.coalesce(parsed("UnitPrice", parsing.parse_price), zero_price),
+            "UnitPrice": price,
             "CustomerID": parsed("CustomerID", parsing.parse_whole_number),
         }
     )
 
 
 def calculate_line_revenue(lines: DataFrame) -> DataFrame:
-    """LineRevenue = Quantity * UnitPrice, exact to four decimals."""
-    return lines.withColumn("LineRevenue", (F.col("Quantity") * F.col("UnitPrice")).cast(REVENUE_TYPE))
+    """LineRevenue = Quantity * UnitPrice, exact; null where the product is beyond its type."""
+    return lines.withColumn("LineRevenue", F.try_multiply("Quantity", "UnitPrice").try_cast(REVENUE_TYPE))
 
 
 def classify_transactions(lines: DataFrame) -> DataFrame:
@@ -92,13 +102,13 @@ def classify_transactions(lines: DataFrame) -> DataFrame:
     )
 
 
-def transform_retail(raw: DataFrame) -> DataFrame:
-    """Clean, type, mark and classify raw lines: one shuffle, row count kept."""
+def transform_retail(raw: DataFrame, spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Clean, type, mark and classify raw lines: one shuffle, row count kept; spread as in detect_duplicates."""
     return (
         raw.transform(standardize_columns)
         .transform(clean_text_fields)
         .transform(convert_data_types)
-        .transform(detect_duplicates)
+        .transform(detect_duplicates, spread=spread)
         .transform(calculate_line_revenue)
         .transform(classify_transactions)
     )

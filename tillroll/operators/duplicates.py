@@ -1,57 +1,50 @@
 """Exact-duplicate marking that holds up when one row repeats a billion times."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.schema import RAW_COLUMNS
 
-# Groups with more copies than this are written out by several tasks.
+# Copies that are written out from one row of the counted groups.
 COPIES_PER_BLOCK = 10_000
 
-# The largest groups are cut into this many blocks, so a list of blocks stays small.
-MOST_BLOCKS = 1_000_000
-
 
-def detect_duplicates(lines: DataFrame, copies_per_block: int = COPIES_PER_BLOCK) -> DataFrame:
+def detect_duplicates(
+    lines: DataFrame,
+    copies_per_block: int = COPIES_PER_BLOCK,
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Flag the second and later copies of rows equal on all eight columns.
 
     Rows of a group differ in nothing but ``is_missing_description``, so they
     are counted, which combines copies before the shuffle, and then written
     out again, those with a given description first. No task ever sorts or
-    holds a group, as a window over the eight columns would. A group of many
-    copies is cut into blocks that are spread over the cluster; both branches
-    read the same shuffle. The columns are grouped as one struct, which takes
-    half the time of eight keys where nearly every line is unique.
+    holds a group, as a window over the eight columns would. Every group is
+    cut into blocks of copies; ``spread`` may deal the blocks, which are as
+    many rows as there are distinct lines and a few more, over the cluster
+    before their copies are written out, as the load does when it gathers
+    months. The columns are grouped as one struct, which takes half the time of
+    eight keys where nearly every line is unique.
 
     Adds ``occurrence`` (1 for the first copy) and ``is_duplicate``; the row
     count stays, nulls are equal to each other.
     """
     if "is_missing_description" not in lines.columns:
         lines = lines.withColumn("is_missing_description", F.lit(False))
-    copies, missing = F.col("copies"), F.col("missing_copies")
+    copies, missing, block = F.col("copies"), F.col("missing_copies"), F.col("block")
     groups = lines.groupBy(F.struct(*RAW_COLUMNS).alias("line")).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if("is_missing_description").alias("missing_copies"),
     )
-    few = groups.where(copies <= copies_per_block).withColumn(
-        "occurrence", F.explode(F.sequence(F.lit(1).cast("bigint"), copies))
-    )
-    block = F.col("block")
-    size = F.greatest(F.lit(copies_per_block), F.ceil(copies / MOST_BLOCKS))
-    last_block = F.call_function("div", copies - 1, size)
-    spread = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    many = (
-        groups.where(copies > copies_per_block)
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
-        .repartition(spread, "line", "block")
-        .withColumn(
-            "occurrence",
-            F.explode(F.sequence(block * size + 1, F.least(copies, (block + 1) * size))),
-        )
-        .drop("block")
-    )
+    last_block = F.call_function("div", copies - 1, F.lit(copies_per_block).cast("bigint"))
+    flat = groups.select("line.*", "copies", "missing_copies")
+    blocks = flat.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    blocks = blocks if spread is None else blocks.transform(spread)
+    numbers = F.sequence(block * copies_per_block + 1, F.least(copies, (block + 1) * copies_per_block))
     occurrence = F.col("occurrence")
-    return few.unionByName(many).select(
-        "line.*",
+    return blocks.withColumn("occurrence", F.explode(numbers)).select(
+        *RAW_COLUMNS,
         (occurrence > copies - missing).alias("is_missing_description"),
         occurrence,
         (occurrence > 1).alias("is_duplicate"),

@@ -18,7 +18,9 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
     the two nearest ranks; nulls are ignored. Callers scale decimals to whole
     numbers.
     """
-    counts = values.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Laid out by a generator, a name that is the same everywhere stays a join key.
+    named = values.select(F.inline(F.array(F.struct("name", "value"))))
+    counts = named.where(F.col("value").isNotNull()).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
     position = F.col("probability") * (F.col("total") - 1)
     wanted = (
         counts.groupBy("name")
@@ -26,34 +28,34 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
         .withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(position), F.ceil(position)))))
         .select(
-            "name",
+            F.col("name").alias("of"),
             "probability",
             "rank",
             F.when(F.col("rank") == F.floor(position), 1 - (position - F.floor(position)))
             .otherwise(position - F.floor(position))
             .alias("weight"),
             (F.col("rank") + 1).alias("remaining"),
-            F.lit(0).cast("bigint").alias("prefix"),
         )
     )
-    target = ["name", "probability", "rank", "weight", "remaining"]
-    by_digit = Window.partitionBy("name", "probability", "rank").orderBy("digit")
+    target = ["of", "probability", "rank", "weight", "remaining"]
+    by_digit = Window.partitionBy("of", "probability", "rank").orderBy("digit")
     for before, after in _STEPS:
         digits = counts.select(
-            "name",
-            "n",
-            F.shiftright("value", after).alias("digit"),
-            (F.shiftright("value", before) if before < 64 else F.lit(0).cast("bigint")).alias("prefix"),
+            "name", "n", F.shiftright("value", after).alias("digit"), F.shiftright("value", min(before, 63)).alias("begins")
         )
+        # Null-safe keys put no condition on the counts, so that all steps share one exchange.
+        same = F.col("name").eqNullSafe(F.col("of"))
+        if before < 64:
+            same = same & F.col("begins").eqNullSafe(F.col("prefix"))
         # ``wanted`` has at most two rows per name and probability, whatever the data.
-        matched = digits.join(F.broadcast(wanted), ["name", "prefix"])
         wanted = (
-            matched.groupBy(*target, "digit")
+            digits.join(F.broadcast(wanted), same)
+            .groupBy(*target, "digit")
             .agg(F.sum("n").alias("n"))
             .withColumn("upto", F.sum("n").over(by_digit))
             .where((F.col("upto") >= F.col("remaining")) & (F.col("upto") - F.col("n") < F.col("remaining")))
             .select(
-                "name",
+                "of",
                 "probability",
                 "rank",
                 "weight",
@@ -61,6 +63,6 @@ def exact_quantiles(values: DataFrame, probabilities: list[float]) -> DataFrame:
                 F.col("digit").alias("prefix"),
             )
         )
-    return wanted.groupBy("name", "probability").agg(
+    return wanted.groupBy(F.col("of").alias("name"), "probability").agg(
         F.sum(F.col("prefix") * F.col("weight")).alias("quantile")
     )

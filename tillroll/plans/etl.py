@@ -3,12 +3,12 @@
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from tillroll.errors import DataQualityError, EtlError, SourceNotFoundError
+from tillroll.errors import DataQualityError, EtlError, MissingColumnsError, SourceNotFoundError
 from tillroll.operators.cleaning import transform_retail
-from tillroll.plans.profile import write_profile
-from tillroll.plans.publish import load_transformed
+from tillroll.plans.profile import intake, intake_audit, write_profile
+from tillroll.plans.publish import by_month, load_transformed
 from tillroll.plans.validation import require_columns, require_types
 from tillroll.sources.files import read_raw
 
@@ -31,11 +31,20 @@ def _report(spark: SparkSession, report_path: str | None, sections: dict[str, di
         frame.write.mode("overwrite").parquet(report_path)
 
 
+def _intake(raw: DataFrame) -> Row:
+    """The totals of the raw lines; without the required columns, which transforming reports, only their number."""
+    try:
+        return intake(raw).first()
+    except MissingColumnsError:
+        return Row(size_rows=raw.count())
+
+
 def run_etl(
     spark: SparkSession,
     raw_path: str,
     table: str,
     full_refresh: bool = True,
+    multi_line: bool = False,
     profile_path: str | None = None,
     report_path: str | None = None,
 ) -> EtlResult:
@@ -43,31 +52,35 @@ def run_etl(
 
     The profile is optional and its failure does not stop the run. Any other
     failure raises ``EtlError``; the table then still serves its former
-    version. Lines are validated where they are staged, in one scan, before the
+    version. One scan of the raw lines counts them and the values that cannot be
+    read or held, which the audit names, and gives the profile its totals.
+    ``multi_line`` allows line breaks inside quoted CSV fields, at the price of
+    one task per file. Lines are validated where they are staged, in one scan, before the
     new version is published.
     """
     started = time.monotonic()
     steps: dict[str, str] = {}
     step, problem = "verify_raw", "Failed to open dataset"
     try:
-        raw = read_raw(spark, raw_path)
+        raw = read_raw(spark, raw_path, multi_line)
         steps["verify_raw"] = "SUCCESS"
 
         step, problem = "extract", "Failed to extract dataset"
-        raw_rows = raw.count()
+        totals = _intake(raw)
+        raw_rows = totals["size_rows"]
         steps[step] = "SUCCESS"
 
         if profile_path is None:
             steps["profile"] = "SKIPPED"
         else:
             try:
-                write_profile(raw, profile_path)
+                write_profile(raw, profile_path, totals)
                 steps["profile"] = "SUCCESS"
             except Exception as error:
                 steps["profile"] = f"FAILED: {error}"
 
         step, problem = "transform", "Data transformation failed"
-        transformed = transform_retail(raw)
+        transformed = transform_retail(raw, spread=by_month)
         steps[step] = "SUCCESS"
 
         step, problem = "validate", "Validation failed"
@@ -77,7 +90,8 @@ def run_etl(
 
         step, problem = "load", "Load failed; the former version stays published"
         try:
-            audit = load_transformed(transformed, table, full_refresh, expected_rows=raw_rows)
+            audit = load_transformed(transformed, table, full_refresh, expected_rows=raw_rows, gathered=True)
+            audit |= intake_audit(totals)
         except DataQualityError:
             steps[step], step, problem = "SUCCESS", "verify", "Validation failed"
             raise

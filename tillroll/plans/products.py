@@ -9,9 +9,6 @@ from tillroll.schema import FEE_CODES, MISSING_DESCRIPTION
 # The ranking orders users may ask for.
 ORDERINGS = {"revenue": "gross_revenue", "quantity": "gross_units_sold"}
 
-# Rankings of up to this many products are sent to every task.
-BROADCAST_LIMIT = 10_000
-
 # Lines that can lend a product its name.
 NAMED_SALE = f"{NORMAL_SALE} AND description NOT IN ('{MISSING_DESCRIPTION}', '')"
 
@@ -49,7 +46,7 @@ def top_products(
     names, for the lines of ranked products only.
     """
     if order_by not in ORDERINGS:
-        raise ValueError(f"Invalid order_by '{order_by}'. Must be 'revenue' or 'quantity'.")
+        raise ValueError(f"Products cannot be ranked by {order_by!r}; choose one of {sorted(ORDERINGS)}.")
     ranked = _ranking(fact.where(where.predicate() & ~F.col("stock_code").isin(FEE_CODES)), order_by, limit)
     product = ranked.columns
     ordered = F.when(F.expr(NORMAL_SALE) & where.predicate(), F.col("invoice_no"))
@@ -58,7 +55,7 @@ def top_products(
         F.struct(F.lit(True).alias("is_order"), ordered.alias("id")),
         F.struct(F.lit(False).alias("is_order"), name.alias("id")),
     )
-    lines = fact.join(F.broadcast(ranked) if limit <= BROADCAST_LIMIT else ranked, "stock_code")
+    lines = fact.join(ranked, "stock_code")
     is_order, known = F.col("is_order"), F.col("id").isNotNull()
     most_sold = F.min_by("id", F.when(~is_order & known, F.struct(-F.col("n"), F.col("id"))))
     return (

@@ -7,7 +7,7 @@ aggregates of all of them together, so the raw lines are read once for these.
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from tillroll.functions import parsing
 from tillroll.operators.cleaning import standardize_columns
@@ -16,7 +16,7 @@ from tillroll.operators.quantiles import exact_quantiles
 
 ScanSection = tuple[dict[str, Column], Callable[[DataFrame], DataFrame]]
 
-_PRICE_SCALE = 10_000
+_PRICE_SCALE = 1_000_000
 _PARSERS = {
     "Quantity": parsing.parse_whole_number,
     "InvoiceDate": parsing.parse_timestamp,
@@ -178,6 +178,11 @@ def profile_sample(raw: DataFrame, rows: int = 5) -> DataFrame:
     return raw.orderBy(*raw.columns).limit(rows)
 
 
+def _any_rows(raw: DataFrame, rows: int = 5) -> DataFrame:
+    """Some rows, whichever are read first."""
+    return raw.limit(rows)
+
+
 def profile_duplicates(raw: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every raw column."""
     row = F.struct(*[F.col(f"`{name}`") for name in raw.columns])
@@ -247,7 +252,7 @@ def _sections(lines: DataFrame, totals: DataFrame) -> dict[str, DataFrame]:
     return {
         **sections,
         "numeric": _with_quartiles(sections["numeric"], lines),
-        "sample": profile_sample(lines),
+        "sample": _any_rows(lines),
         "duplicates": profile_duplicates(lines),
     }
 
@@ -258,16 +263,33 @@ def profile(raw: DataFrame) -> dict[str, DataFrame]:
     return _sections(lines, _all_totals(lines))
 
 
-def write_profile(raw: DataFrame, path: str) -> None:
+def intake(raw: DataFrame) -> DataFrame:
+    """One row, from one scan, of all that the sections but sample, duplicates and quartiles need, and of
+    values that are numbers beyond their types."""
+    lines = _stripped(raw)
+    beyond = {
+        "beyond_Quantity": parsing.is_beyond_whole_number(F.col("Quantity"), lines.schema["Quantity"].dataType),
+        "beyond_UnitPrice": parsing.is_beyond_price(F.col("UnitPrice"), lines.schema["UnitPrice"].dataType),
+    }
+    every = {name: value for scan in _SCANS.values() for name, value in scan(lines)[0].items()}
+    return _totals(lines, every | {name: F.count_if(rule) for name, rule in beyond.items()})
+
+
+def intake_audit(totals: Row) -> dict[str, int]:
+    """Of intake's row: the lines, and by column the values that cannot be read or held."""
+    names = [f"unreadable_{name}" for name in _PARSERS] + ["beyond_Quantity", "beyond_UnitPrice"]
+    return {"raw_rows": totals["size_rows"]} | {name: totals[name] for name in names}
+
+
+def write_profile(raw: DataFrame, path: str, totals: Row | None = None) -> None:
     """Write each section as Parquet under ``path``, replacing an earlier profile.
 
-    The one row of totals that most sections share is computed once and kept
-    while they are written.
+    ``totals`` is the row of ``intake``, computed here if not given. The sample
+    has any five rows.
     """
     lines = _stripped(raw)
-    totals = _all_totals(lines).persist()
-    try:
-        for name, section in _sections(lines, totals).items():
-            section.write.mode("overwrite").parquet(f"{path}/{name}")
-    finally:
-        totals.unpersist()
+    totals_of = intake(raw)
+    row = totals_of.first() if totals is None else totals
+    known = raw.sparkSession.createDataFrame([tuple(row)], totals_of.schema)
+    for name, section in _sections(lines, known).items():
+        section.write.mode("overwrite").parquet(f"{path}/{name}")

@@ -17,6 +17,9 @@ from tillroll.operators.cleaning import to_fact
 from tillroll.plans.validation import check_staged
 from tillroll.schema import FACT_SCHEMA
 
+# Fixed value: the table that users' SQL names.
+_VIEW = "retail_transactions"
+
 _MANIFEST_SCHEMA = "version BIGINT, segments ARRAY<STRING>, rows BIGINT, published_at TIMESTAMP"
 
 
@@ -59,10 +62,21 @@ def read_fact(spark: SparkSession, table: str) -> DataFrame:
 def execute_query(spark: SparkSession, table: str, query: str, params: dict | list | None = None) -> DataFrame:
     """Run a user's SQL over the published fact, which it names ``retail_transactions``.
 
-    ``params`` fill ``:name`` markers (dict) or ``?`` markers (list).
+    ``params`` fill ``:name`` markers (dict) or ``?`` markers (list). A view of
+    that name which the user has made is theirs again afterwards.
     """
-    read_fact(spark, table).createOrReplaceTempView("retail_transactions")
-    return spark.sql(query, args=params)
+    try:
+        former = spark.table(_VIEW) if spark.catalog.getTable(_VIEW).isTemporary else None
+    except AnalysisException:
+        former = None
+    read_fact(spark, table).createOrReplaceTempView(_VIEW)
+    try:
+        return spark.sql(query, args=params)
+    finally:
+        if former is None:
+            spark.catalog.dropTempView(_VIEW)
+        else:
+            former.createOrReplaceTempView(_VIEW)
 
 
 def _stage(fact: DataFrame, table: str) -> str:
@@ -78,8 +92,17 @@ def _stage(fact: DataFrame, table: str) -> str:
     return segment
 
 
+def by_month(blocks: DataFrame) -> DataFrame:
+    """Counted lines, see detect_duplicates, gathered by month into few files; adaptive execution splits a large month."""
+    return blocks.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM")).hint("rebalance", F.col("sales_month")).drop("sales_month")
+
+
 def load_transformed(
-    transformed: DataFrame, table: str, full_refresh: bool = True, expected_rows: int | None = None
+    transformed: DataFrame,
+    table: str,
+    full_refresh: bool = True,
+    expected_rows: int | None = None,
+    gathered: bool = False,
 ) -> dict:
     """Stage, check and publish transformed lines; returns the audit row of the load.
 
@@ -88,7 +111,9 @@ def load_transformed(
 
     Rebalancing gathers each month into few files and lets adaptive execution
     split a month that is too big for one task. It comes before the mapping to
-    the fact, so that line ids, which do not compress, are not shuffled.
+    the fact, so that line ids, which do not compress, are not shuffled. Lines
+    that ``by_month`` has ``gathered`` before their copies were written out are
+    not shuffled again.
     """
     spark = transformed.sparkSession
     try:
@@ -96,9 +121,10 @@ def load_transformed(
     except FactNotPublishedError:
         former = None
     kept = [] if full_refresh or former is None else former.segments
-    dated = transformed.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM"))
-    by_month = dated.hint("rebalance", F.col("sales_month"))
-    segment = _stage(to_fact(by_month, batch=len(kept)), table)
+    if not gathered:
+        dated = transformed.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM"))
+        transformed = dated.hint("rebalance", F.col("sales_month"))
+    segment = _stage(to_fact(transformed, batch=len(kept)), table)
     audit = check_staged(_read_segments(spark, table, [segment]), expected_rows)
     version = Row(
         version=former.version + 1 if former else 1,

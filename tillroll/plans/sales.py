@@ -106,8 +106,9 @@ def monthly_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame
 
 def daily_sales(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame:
     """Days in order, with orders, units and revenue."""
-    dated = fact.where(where.predicate()).withColumn("sales_date", F.date_format("invoice_date", "yyyy-MM-dd"))
-    return _trend(dated, "sales_date", "units_returned").orderBy("sales_date")
+    dated = fact.where(where.predicate()).withColumn("sales_date", F.to_date("invoice_date"))
+    days = _trend(dated, "sales_date", "units_returned")
+    return days.withColumn("sales_date", F.date_format("sales_date", "yyyy-MM-dd")).orderBy("sales_date")
 
 
 def daily_moving_average(fact: DataFrame, where: ReportFilter = NO_FILTER) -> DataFrame:

@@ -41,8 +41,9 @@ CATEGORIES = [
 ]
 OTHER_CATEGORY = "OTHER"
 
-PRICE_TYPE = T.DecimalType(12, 4)
-REVENUE_TYPE = T.DecimalType(18, 4)
+# A price fits into a long, as whole millionths.
+PRICE_TYPE = T.DecimalType(18, 6)
+REVENUE_TYPE = T.DecimalType(30, 6)
 
 RAW_TO_FACT = {
     "InvoiceNo": "invoice_no",

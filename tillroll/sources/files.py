@@ -11,13 +11,16 @@ def read_raw(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
     CSV columns are text under the names of the header, whatever their order;
     empty fields are null. Files of one dataset must agree in their headers,
-    else reading them fails. ``multi_line`` allows line breaks inside quotes,
-    at the price of one task per file.
+    and every line must have as many fields as its header, else reading them
+    fails. ``multi_line`` allows line breaks inside quotes, at the price of one
+    task per file.
     """
     try:
         if not path.rstrip("/").lower().endswith((".csv", ".csv.gz")):
             return spark.read.parquet(path)
-        reader = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False)
+        reader = spark.read.options(
+            header=True, escape='"', multiLine=multi_line, enforceSchema=False, mode="FAILFAST", columnPruning=False
+        )
         lines = reader.csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":

@@ -8,13 +8,53 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The eight raw columns for every line item in ``folder``.
+    """The eight raw columns for every line item in ``folder``."""
+    return _keyed_lines(spark, folder).drop("k")
+
+
+def text_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The same lines as the text of a carelessly kept file: padded, in several notations, here and there unreadable."""
+    lines = _keyed_lines(spark, folder)
+
+    def every(n):
+        return F.col("k") % n == 0
+
+    def padded(column):
+        return F.concat(F.lit("\t "), column, F.lit("\xa0"))
+
+    day = F.col("InvoiceDate")
+    whole = F.col("Quantity").cast("string")
+    return lines.select(
+        F.when(every(73), F.lit(None)).otherwise(padded(F.col("InvoiceNo"))).alias("InvoiceNo"),
+        padded(F.col("StockCode")).alias("StockCode"),
+        F.when(every(79), F.lit("\t\xa0")).otherwise(padded(F.col("Description"))).alias("Description"),
+        F.when(every(37), F.concat(whole, F.lit(".7")))
+        .when(every(41), "abc")
+        .when(every(43), F.lit(None))
+        .otherwise(padded(whole))
+        .alias("Quantity"),
+        F.when(every(71), "soon")
+        .when(every(29), F.date_format(day, "yyyy/MM/dd"))
+        .when(every(31), F.date_format(day, "M/d/yyyy H:mm"))
+        .when(every(19), F.date_format(day, "d-MMM-yyyy"))
+        .otherwise(padded(F.date_format(day, "yyyy-MM-dd HH:mm:ss")))
+        .alias("InvoiceDate"),
+        F.when(every(47), "n/a")
+        .when(every(83), "123456789.0")
+        .when(every(89), "0.00001")
+        .otherwise(padded(F.col("UnitPrice").cast("string")))
+        .alias("UnitPrice"),
+        F.when(every(59), "guest").otherwise(F.concat(F.col("CustomerID").cast("string"), F.lit(".0"))).alias("CustomerID"),
+        padded(F.col("Country")).alias("Country"),
+    )
+
+
+def _keyed_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The eight raw columns and the key ``k`` that decides about each line.
 
     All joins are plain equi-joins: Spark broadcasts a dimension only where its
     measured size is under the session's threshold, and adaptive execution
-    splits hot keys. The two large tables, which grow together, are always
-    merged by order key, so that small test files are spread over all cores as
-    well. Orders meet customers before the far larger line items are touched,
+    splits hot keys. Orders meet customers before the far larger line items are touched,
     and copies are added by a generator, so line items are scanned once.
     """
 
@@ -41,7 +81,7 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = (
         table("lineitem")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
-        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("k", F.col("l_orderkey") + F.col("l_partkey") + F.col("l_linenumber"))
@@ -88,4 +128,5 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_custkey") * 8 + F.col("l_orderkey") % 8)
         .alias("CustomerID"),
         F.when(every(23), F.col("seller_nation")).otherwise(F.col("buyer_nation")).alias("Country"),
+        "k",
     )
