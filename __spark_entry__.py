@@ -185,7 +185,7 @@ def _load_job(spark: SparkSession, folder: str) -> DataFrame:
         raw_path, table = f"{base}/raw.csv", f"{base}/fact"
         raw = retail_lines(spark, folder)
         longer = F.concat("Description", F.lit('\nsaid "again", twice'))
-        raw = raw.withColumn("Description", F.when(F.col("InvoiceNo").startswith("C"), longer).otherwise(F.col("Description")))
+        raw = raw.withColumn("Description", F.when(F.col("InvoiceNo").startswith("C") & (F.trim("Description") != ""), longer).otherwise(F.col("Description")))
         kept_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
         raw.write.options(header=True, escape='"', quoteAll=True, **kept_blanks).csv(raw_path)
         run_etl(spark, raw_path, table, multi_line=True)
