@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.dom import FEATURES, OTHER, Page, describe, groups_of, read_page
+from tillroll.llm.labelled import smallest_hashes
 from tillroll.llm.page_samples import labelled_pages
 
 #: Pages to learn from: drawn layouts, and at most so many of the table that mark their article, of at most so many characters.
@@ -127,12 +128,15 @@ def train(pages: DataFrame, key: str = "page_id", html: str = "html", drawn: int
     """The model learned from drawn labelled layouts and at most `rows` pages of the table with an article element.
 
     The pages taken have the smallest hashes of their keys and at most
-    TABLE_CHARS characters; an empty table leaves the drawn ones.
+    TABLE_CHARS characters, of pages that repeat a key the least html; an empty
+    table leaves the drawn ones.
     """
     own = pages.select(F.col(key).alias("key"), F.col(html).alias("html"))
     own = own.where((F.length("html") <= TABLE_CHARS) & F.col("html").contains("<article"))
-    # At most `rows` pages of bounded length.
-    taken = own.orderBy(F.xxhash64("key"), "key", F.xxhash64("html")).limit(rows).select("html").toArrow()["html"].to_pylist()
+    chosen = smallest_hashes(own.select("key").where("key is not null").distinct(), "key", rows)
+    # At most `rows` keys, and then as many pages of bounded length.
+    found = own.join(F.broadcast(chosen), "key").groupBy("key").agg(F.min("html").alias("html")).orderBy("key")
+    taken = found.select("html").toArrow()["html"].to_pylist()
     read = [(read_page(h), False) for h in labelled_pages(drawn)] + [(read_page(h), True) for h in taken]
     return fit(_forest(p for p, _ in read), np.concatenate([_labels(p, marked) for p, marked in read]))
 
