@@ -87,6 +87,15 @@ def test_training_rows_are_labelled_agreed_and_not_held_out(spark):
     assert labelled.training_texts(docs, labels, "y", 7).count() == 7
 
 
+def test_ngrams_are_the_same_in_any_windows(monkeypatch):
+    text = "The İdiot   said\tno " * 50
+    whole = np.sort(np.concatenate(list(toxicity.ngram_buckets(text))))
+    scratch = np.empty(1 << toxicity.BUCKET_BITS, np.int32)
+    monkeypatch.setattr(toxicity, "WINDOW", 17)
+    assert (whole == np.sort(np.concatenate(list(toxicity.ngram_buckets(text))))).all()
+    assert set(toxicity._distinct(toxicity.ngram_buckets(text), scratch)) == set(whole)
+
+
 def test_trees_learn_and_flat_traversal_follows_them():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 3))

@@ -8,6 +8,7 @@ kept for scoring is one number for each bucket, weight times r.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,27 +34,35 @@ WINDOW = 1 << 18
 _FACTORS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, max(ORDERS), np.uint64) | np.uint64(1)
 
 
-def ngram_buckets(text: str) -> np.ndarray:
-    """Buckets of all n-grams of the lower-cased text between two spaces, white space being one space; with repeats."""
-    whole = np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    found = []
+def ngram_buckets(text: str) -> Iterator[np.ndarray]:
+    """Buckets of all n-grams of the lower-cased text between two spaces, white space being one space; with repeats.
+
+    Each array is of the n-grams that begin in one window of the text.
+    """
+    whole = np.frombuffer(f" {' '.join(text.lower().split())} ".encode("utf-32-le", "replace"), np.uint32)
     for start in range(0, len(whole), WINDOW):
-        codes = whole[start : start + WINDOW + max(ORDERS) - 1]
-        rolled = np.zeros(len(codes), np.uint64)
+        codes = whole[start : start + WINDOW + max(ORDERS) - 1].astype(np.uint64)
+        rolled, found = np.zeros(len(codes), np.uint64), [np.empty(0, np.uint64)]
         for n in range(1, max(ORDERS) + 1):
             if len(codes) < n:
                 break
             rolled = rolled[: len(codes) - n + 1] + codes[n - 1 :] * _FACTORS[n - 1]
             if n in ORDERS:
-                found.append(((rolled ^ (rolled >> np.uint64(29))) * _FACTORS[n - 1]) >> np.uint64(64 - BUCKET_BITS))
-    return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
+                mixed = ((rolled ^ (rolled >> np.uint64(29))) * _FACTORS[n - 1]) >> np.uint64(64 - BUCKET_BITS)
+                # What begins behind the window is left to the next one.
+                found.append(mixed[:WINDOW])
+        yield np.concatenate(found).astype(np.int64)
 
 
-def _distinct(buckets: np.ndarray, scratch: np.ndarray) -> np.ndarray:
+def _distinct(buckets: Iterator[np.ndarray], scratch: np.ndarray) -> np.ndarray:
     """Each bucket once; scratch has a place for every bucket, and what it holds doesn't matter."""
-    at = np.arange(len(buckets), dtype=scratch.dtype)
-    scratch[buckets] = at
-    return buckets[scratch[buckets] == at]
+    kept = None
+    for window in buckets:
+        at = np.arange(len(window), dtype=scratch.dtype)
+        scratch[window] = at
+        own = window[scratch[window] == at]
+        kept = own if kept is None else np.union1d(kept, own)
+    return kept
 
 
 @dataclass(frozen=True)
@@ -67,8 +76,8 @@ class ToxicityModel:
         """Probability that the text is toxic."""
         margin = self.start
         if text and len(self.weights):
-            buckets = ngram_buckets(text)
-            margin += float(self.weights[np.unique(buckets[self.weights[buckets] != 0])].sum())
+            weighty = [np.unique(window[self.weights[window] != 0]) for window in ngram_buckets(text)]
+            margin += float(self.weights[np.unique(np.concatenate(weighty))].sum())
         return float(1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))))
 
 
@@ -147,11 +156,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     def held(batches):
         number_of = np.frombuffer(packed, np.int32)
+        scratch = np.empty(1 << BUCKET_BITS, np.int32)
         for batch in batches:
             found = []
             for value in batch.column("text").to_pylist():
-                own = number_of[ngram_buckets(value or "")]
-                found.append(np.unique(own[own >= 0]))
+                own = number_of[_distinct(ngram_buckets(value or ""), scratch)]
+                found.append(np.sort(own[own >= 0]))
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["features", "label"])
 
     texts = sample.mapInArrow(held, "features array<int>, label int").toArrow()
