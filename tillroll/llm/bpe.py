@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tillroll.llm.chunks import RememberedEncoder, slices
+from tillroll.llm.storage import in_small_batches
 
 _NONE = np.int64(2**62)
 #: Matches of at most so many bytes are merged side by side.
@@ -241,7 +242,7 @@ def bpe_encode(frame: DataFrame, ranks_path: str, pattern: str, text: str = "tex
             column = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=schema.names)
 
-    return frame.mapInArrow(encode, schema)
+    return in_small_batches(frame).mapInArrow(encode, schema)
 
 
 def bpe_decode(frame: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -258,7 +259,7 @@ def bpe_decode(frame: DataFrame, ranks_path: str, pattern: str, ids: str = "ids"
             out = [bpe.decode(np.array(row or [], "<u4").tobytes()) for row in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=schema.names)
 
-    return frame.mapInArrow(decode, schema)
+    return in_small_batches(frame).mapInArrow(decode, schema)
 
 
 def bpe_round_trip(frame: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -291,4 +292,4 @@ def bpe_round_trip(frame: DataFrame, ranks_path: str, pattern: str, key: str = "
             columns = [batch.column(key), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return own.mapInArrow(digest, schema)
+    return in_small_batches(own).mapInArrow(digest, schema)

@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterable, Iterator
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 #: Parts remembered by a worker in each of two generations, about 200 bytes each.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 300_000
 #: Characters of texts that are encoded together.
 SLICE_CHARS = 4_000_000
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.shingles import shingle_sets, sliced
+from tillroll.llm.storage import in_small_batches
 
 #: One in so many shingles is kept.
 SCALE = 4
@@ -76,7 +77,7 @@ def fingerprints(frame: DataFrame, text: str = "text", scale: int = SCALE) -> Da
             own = [Fingerprint(x, scale).text for x in shingle_sets(batch.column(text))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.string())], names=schema.names)
 
-    return frame.mapInArrow(add, schema)
+    return in_small_batches(frame).mapInArrow(add, schema)
 
 
 def _with_next(frame: DataFrame, key: str, text: str) -> DataFrame:
@@ -164,7 +165,7 @@ def edited_fingerprints(frame: DataFrame, key: str = "doc_id", text: str = "text
             ("near_next", pa.float64()),
         ]
     )
-    dealt = _with_next(frame, key, text).select("range", "copied", "key", "text")
+    dealt = _with_next(in_small_batches(frame), key, text).select("range", "copied", "key", "text")
     return dealt.mapInArrow(compare, schema).withColumn(key, F.col(key).cast(kind))
 
 

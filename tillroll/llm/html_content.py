@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from tillroll.llm.dom import FEATURES, OTHER, Page, describe, groups_of, read_page
 from tillroll.llm.labelled import smallest_hashes
 from tillroll.llm.page_samples import labelled_pages
+from tillroll.llm.storage import in_small_batches
 
 #: Pages to learn from: drawn layouts, and at most so many of the table that mark their article, of at most so many characters.
 DRAWN_PAGES = 500
@@ -172,4 +173,4 @@ def extract_main_text(pages: DataFrame, model: ContentModel, html: str = "html",
                 texts = extract_all(part.column(html).to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return pages.mapInArrow(extract, schema)
+    return in_small_batches(pages).mapInArrow(extract, schema)

@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tillroll.llm.bpe import ByteBpe, byte_bpe, read_ranks
+from tillroll.llm.bpe import byte_bpe, read_ranks
 from tillroll.llm.chunks import uneven
-from tillroll.llm.storage import checkpointed
+from tillroll.llm.storage import checkpointed, in_small_batches
 
 #: Parts of texts that a worker remembers, about 200 bytes each.
-MOST_REMEMBERED = 400_000
+MOST_REMEMBERED = 250_000
 #: Longer parts are met once and go to the encoder that needs no recursion.
 LONG_PART = 1_000
 
@@ -41,11 +41,15 @@ class _Parts(dict):
 
     def __init__(self, path: str, pattern: str):
         self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
-        self._exact: ByteBpe = byte_bpe(path, pattern)
+        self._file = path, pattern
+
+    def _exactly(self, text: str) -> bytes:
+        """By the encoder for any text, which is built when first needed."""
+        return byte_bpe(*self._file).encode_all([text])[0]
 
     def encode(self, part: str) -> bytes:
         if len(part) > LONG_PART:
-            return self._exact.encode_all([part])[0]
+            return self._exactly(part)
         return np.array(self._fast.encode_ordinary(part), "<u4").tobytes()
 
     def __missing__(self, part: str) -> bytes:
@@ -63,7 +67,7 @@ class _Parts(dict):
                 raise _Uneven
             return self.encode(first) + b"".join(map(self.__getitem__, rest))
         except _Uneven:
-            return self._exact.encode_all([text])[0]
+            return self._exactly(text)
 
 
 @lru_cache(maxsize=2)
@@ -130,7 +134,7 @@ def token_pieces(
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return own.mapInArrow(encode, schema)
+    return in_small_batches(own).mapInArrow(encode, schema)
 
 
 def plan_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

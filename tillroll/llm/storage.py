@@ -1,4 +1,4 @@
-"""Intermediate results that outlive lost executors."""
+"""Intermediate results that outlive lost executors, and how texts are handed to Python."""
 
 from __future__ import annotations
 
@@ -23,3 +23,16 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return frame.checkpoint(eager=True)
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of text that go to a Python worker at once, where the session says nothing else: some megabytes.
+TEXT_ROWS = 1_000
+
+
+def in_small_batches(frame: DataFrame) -> DataFrame:
+    """The frame, with the session's Arrow batches set to TEXT_ROWS rows unless it has a setting of its own."""
+    spark = frame.sparkSession
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(TEXT_ROWS))
+    return frame
