@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillroll.llm.storage import checkpointed
+from tillroll.llm.storage import saved
 
 
 def _signature(links: DataFrame) -> tuple:
@@ -19,11 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     steps hang every node's larger neighbours, then its smaller ones, on the
     smallest; each keeps what is connected, and at the end every node hangs on
     the smallest of its component. Neighbours are never brought together in one
-    task: steps are minima and joins. Each round is written to the checkpoint
-    folder.
+    task: steps are minima and joins. Each round is written as a table to the
+    checkpoint folder.
     """
     nodes = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = checkpointed(nodes)
+    edges = saved(nodes)
     single = edges.where("a = b").select(F.col("a").alias("node"))
     edges = edges.where("a <> b")
     before = None
@@ -40,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
             .where("a <> b")
             .distinct()
         )
-        edges = checkpointed(small)
+        edges = saved(small)
     roots = edges.select(F.col("b").alias("node")).distinct()
     hung = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     alone = single.join(hung, "node", "left_anti").join(roots, "node", "left_anti")

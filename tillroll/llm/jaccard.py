@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.graph import components
 from tillroll.llm.shingles import shingle_sets, sliced
-from tillroll.llm.storage import checkpointed, in_small_batches
+from tillroll.llm.storage import in_small_batches, saved
 
 #: Counts in the table of frequencies, one byte each when sent to workers.
 BUCKET_BITS = 20
@@ -164,7 +164,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, frame: DataFrame, text: str, pe
     most = F.aggregate(
         F.zip_with("parts_a", "parts_b", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda total, x: total + x
     )
-    left = checkpointed(
+    left = saved(
         described.where(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b", "n_a", "n_b")
     )
     # A bit for each class to be read again; others with that bit are read as well and not joined.
@@ -189,9 +189,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, frame: DataFrame, text: str, pe
             if ids:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["id", "hashes"])
 
-    read = frame.select(text).mapInArrow(whole, "id long, hashes array<long>")
-    ends = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    read = checkpointed(read.join(ends, "id").dropDuplicates(["id"]))
+    # The exchange by id serves both sides of the pairs.
+    read = frame.select(text).mapInArrow(whole, "id long, hashes array<long>").repartition("id").dropDuplicates(["id"])
     both = left
     for side in ("a", "b"):
         both = both.join(read.select(F.col("id").alias(side), F.col("hashes").alias(f"hashes_{side}")), side)
@@ -209,9 +208,9 @@ def similar_documents(frame: DataFrame, key: str = "doc_id", text: str = "text",
     there is one. Repeated rows each give a row. Keys are int, bigint or string.
     Other columns are left out; an empty table gives an empty one.
     """
-    described = checkpointed(_described(in_small_batches(frame), key, text))
+    described = saved(_described(in_small_batches(frame), key, text))
     docs = described.where("bucket is null").select("doc_id", "set_id", "n", "parts")
-    sets = checkpointed(
+    sets = saved(
         docs.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("parts").alias("parts"))
     )
     rows = _prefixes(frame, text, _frequencies(described), percent)
@@ -249,7 +248,8 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
         F.min(place).alias("first"), F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("shingle").alias("shingle_of")
     )
     shared = per_part.where("low <> high or part <> shingle_of").select("part", "first")
-    met = checkpointed(dealt.join(shared, "part").select("part", "shingle", "set_id", "n", "at", "first").dropDuplicates(["part", "set_id"]))
+    met = dealt.join(shared, "part").select("part", "shingle", "set_id", "n", "at", "first")
+    met = saved(met.dropDuplicates(["part", "set_id"]))
 
     of_shingle = met.where("part <> shingle").groupBy("shingle").agg(F.min("first").alias("top"))
     parts = met.where("part <> shingle").select("shingle", "first").distinct()
@@ -261,14 +261,14 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
     tried = near.groupBy("set_id", F.col("first.set_id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
     best = tried.groupBy("set_id").agg(F.max(F.struct("times", "other")).alias("best"))
     first_pairs = best.select(F.least("set_id", "best.other").alias("a"), F.greatest("set_id", "best.other").alias("b")).distinct()
-    first_links = checkpointed(_verified(first_pairs, sets, frame, text, percent))
-    first_found = checkpointed(components(first_links))
+    first_links = saved(_verified(first_pairs, sets, frame, text, percent))
+    first_found = saved(components(first_links))
 
     placed = met.join(first_found.select(F.col("node").alias("set_id"), "component"), "set_id", "left").select(
         "shingle", "set_id", "n", "at", F.coalesce("component", "set_id").alias("component")
     )
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    placed = checkpointed(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
+    placed = saved(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
     x, y = placed.alias("x"), placed.alias("y")
     crossing = (
         (F.col("x.shingle") == F.col("y.shingle"))

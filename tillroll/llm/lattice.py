@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tillroll.llm.graph import components
-from tillroll.llm.storage import checkpointed
+from tillroll.llm.storage import saved
 
 LEAST_COSINE = 0.98
 TABLES = 4
@@ -239,13 +239,13 @@ def similar_vectors(
     component's id; a null vec_id is not kept. Other columns are left out, an
     empty table gives an empty one.
     """
-    described = checkpointed(_described(frame, key, vector, label))
-    classes = checkpointed(
+    described = saved(_described(frame, key, vector, label))
+    classes = saved(
         described.where("class is not null").groupBy("class").agg(
             F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("members"), F.first("label").alias("label"), F.first("vector").alias("vector")
         )
     )
-    coded = checkpointed(_with_codes(classes))
+    coded = saved(_with_codes(classes))
     each = coded.select("class", F.posexplode("codes").alias("place", "cell")).select(
         "class", "cell", (F.col("place") % (1 + PROBES) == 0).alias("own"), F.floor(F.col("place") / (1 + PROBES)).cast("int").alias("table")
     )
@@ -269,7 +269,7 @@ def similar_vectors(
         if out:
             yield _packed(out)
 
-    found = checkpointed(dealt.mapInArrow(compare, "class long, other long, links long"))
+    found = saved(dealt.mapInArrow(compare, "class long, other long, links long"))
     counts = found.where("other is null").groupBy("class").agg(F.sum("links").alias("links"))
     hung = components(found.where("other is not null").select(F.col("class").alias("a"), F.col("other").alias("b")))
     hung = hung.withColumnRenamed("node", "class")

@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from tillroll.llm.bpe import byte_bpe, read_ranks
 from tillroll.llm.chunks import uneven
-from tillroll.llm.storage import checkpointed, in_small_batches
+from tillroll.llm.storage import in_small_batches, saved
 
 #: Parts of texts that a worker remembers, about 200 bytes each.
 MOST_REMEMBERED = 250_000
@@ -239,5 +239,5 @@ def pack_documents(
     Texts are encoded once: the pieces are written to the checkpoint folder and
     read for the histogram and again for the places.
     """
-    pieces = checkpointed(token_pieces(frame, ranks_path, pattern, capacity, key, text, keep_ids=keep_ids))
+    pieces = saved(token_pieces(frame, ranks_path, pattern, capacity, key, text, keep_ids=keep_ids))
     return pack_pieces(pieces, capacity, key)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +17,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The frame's rows, computed once and written to the shared checkpoint folder."""
+def saved(frame: DataFrame) -> DataFrame:
+    """The frame's rows, computed once and written as a table to the shared checkpoint folder.
+
+    A checkpoint of the frame would compute its last stage twice and write rows
+    uncompressed. Tables stay until the folder is cleared.
+    """
     spark = frame.sparkSession
-    folder = checkpoint_folder(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return frame.checkpoint(eager=True)
+    path = f"{checkpoint_folder(spark).rstrip('/')}/tillroll-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.labelled import held_out, training_texts
-from tillroll.llm.storage import checkpointed, in_small_batches
+from tillroll.llm.storage import in_small_batches, saved
 
 #: Labelled documents to learn from, at most, and the tasks they are dealt to.
 TRAINING_ROWS = 10_000
@@ -121,7 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     take part, 2**BUCKET_BITS at most, and for each training text those it holds.
     Without texts of both labels the score is the smoothed share of label 1.
     """
-    sample = checkpointed(in_small_batches(training_texts(docs, labels, label, rows, key, text)).repartition(TRAINING_TASKS))
+    sample = saved(in_small_batches(training_texts(docs, labels, label, rows, key, text)).repartition(TRAINING_TASKS))
     of_label = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     others, toxic = of_label.get(0, 0), of_label.get(1, 0)
     share = (toxic + 0.5) / (others + toxic + 1.0)
