@@ -62,7 +62,9 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
                     parts.append(None)
                     continue
                 ids.append(_set_id(hashes))
-                parts.append(np.bincount(hashes >> np.uint64(58), minlength=PARTS).astype(np.int32))
+                counts = np.bincount(hashes >> np.uint64(58), minlength=PARTS)
+                # No bound for a set too large for small counts: the suffix filter lets it pass.
+                parts.append(counts.astype(np.int16) if counts.max() < 1 << 15 else None)
                 if ids[-1] not in met:
                     met.add(ids[-1])
                     new.append(hashes)
@@ -75,7 +77,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
                 batch.column("doc_id"),
                 pa.array(ids, pa.int64()),
                 pa.array(sizes, pa.int64()),
-                pa.array(parts, pa.list_(pa.int32())),
+                pa.array(parts, pa.list_(pa.int16())),
                 none,
                 none.cast(pa.int64()),
             ]
@@ -83,7 +85,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
         at = np.flatnonzero(seen)
         if len(at):
             none = pa.nulls(len(at))
-            columns = [none.cast(doc_type) for doc_type in (pa.int64(), pa.int64(), pa.list_(pa.int32()))]
+            columns = [none.cast(doc_type) for doc_type in (pa.int64(), pa.int64(), pa.list_(pa.int16()))]
             first = pa.nulls(len(at), arrow_type)
             yield pa.RecordBatch.from_arrays(
                 [first, *columns, pa.array(at.astype(np.int32)), pa.array(seen[at])], names=names
@@ -93,7 +95,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
     arrow_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     if kind not in ("string", "int", "bigint"):
         raise ValueError(f"Keys must be string, int or bigint, not {kind}.")
-    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts array<int>, bucket int, seen long")
+    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts array<smallint>, bucket int, seen long")
 
 
 def _frequencies(described: DataFrame) -> bytes:
@@ -164,9 +166,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, frame: DataFrame, text: str, pe
     most = F.aggregate(
         F.zip_with("parts_a", "parts_b", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda total, x: total + x
     )
-    left = saved(
-        described.where(most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent).select("a", "b", "n_a", "n_b")
-    )
+    enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    left = saved(described.where(F.coalesce(enough, F.lit(True))).select("a", "b", "n_a", "n_b"))
     # A bit for each class to be read again; others with that bit are read as well and not joined.
     bits = (1 << WANTED_BITS) - 1
     wanted = left.select(F.explode(F.array("a", "b")).alias("id")).select(F.col("id").bitwiseAND(bits).alias("bit")).distinct()
@@ -260,7 +261,8 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
     )
     tried = near.groupBy("set_id", F.col("first.set_id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
     best = tried.groupBy("set_id").agg(F.max(F.struct("times", "other")).alias("best"))
-    first_pairs = best.select(F.least("set_id", "best.other").alias("a"), F.greatest("set_id", "best.other").alias("b")).distinct()
+    a, b = F.least("set_id", "best.other").alias("a"), F.greatest("set_id", "best.other").alias("b")
+    first_pairs = saved(best.select(a, b).distinct())
     first_links = saved(_verified(first_pairs, sets, frame, text, percent))
     first_found = saved(components(first_links))
 
@@ -275,7 +277,9 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
         & (F.col("x.component") < F.col("y.component"))
         & _may_match(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
     )
-    pairs = x.join(y, crossing).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
-    more = _verified(pairs, sets, frame, text, percent)
+    a, b = F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")
+    pairs = x.join(y, crossing).select(a, b).distinct()
+    # What the first round has looked at and not linked needs no second look.
+    more = _verified(pairs.join(first_pairs, ["a", "b"], "left_anti"), sets, frame, text, percent)
     hung = first_found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(hung.unionByName(more))
