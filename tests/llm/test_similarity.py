@@ -98,6 +98,24 @@ def test_similar_documents(spark, texts):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(len(texts)) if wanted[i] == i]
 
 
+@pytest.mark.parametrize("hot", [0, 1])
+def test_no_link_is_lost_where_shingles_are_dealt_out_by_class(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rng = random.Random(21)
+    texts = []
+    for group in range(40):
+        base = words(rng, 60)
+        for k in range(2 + group % 5):
+            own = list(base)
+            own[11 * k] = f"changed{k}"
+            texts.append(" ".join(own))
+    sets, links = linked(texts)
+    wanted = smallest_reachable(range(len(texts)), links)
+    assert len(set(wanted.values())) == 40
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_documents(frame).collect()} == wanted
+
+
 def test_similar_documents_with_null_and_repeated_keys(spark):
     rows = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (None, None), (3, ""), (3, "")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

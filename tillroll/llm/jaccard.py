@@ -246,14 +246,16 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
     dealt = rows.repartition("part")
     place = F.struct("at", "n", "set_id")
     per_part = dealt.groupBy("part").agg(
-        F.min(place).alias("first"), F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("shingle").alias("shingle_of")
+        F.min(place).alias("first"), F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("shingle").alias("shingle")
     )
-    shared = per_part.where("low <> high or part <> shingle_of").select("part", "first")
+    # A class alone in one part of a frequent shingle may share it with classes in the other parts.
+    dealt_out = F.shiftrightunsigned("shingle", 58) > HOT
+    shared = per_part.where((F.col("low") != F.col("high")) | dealt_out).select("part", "first")
     met = dealt.join(shared, "part").select("part", "shingle", "set_id", "n", "at", "first")
     met = saved(met.dropDuplicates(["part", "set_id"]))
 
-    of_shingle = met.where("part <> shingle").groupBy("shingle").agg(F.min("first").alias("top"))
-    parts = met.where("part <> shingle").select("shingle", "first").distinct()
+    of_shingle = met.where(dealt_out).groupBy("shingle").agg(F.min("first").alias("top"))
+    parts = met.where(dealt_out).select("shingle", "first").distinct()
     across = parts.join(of_shingle, "shingle").select("shingle", F.col("first.*"), F.col("top").alias("first"))
     near = met.select("shingle", "set_id", "n", "at", "first").unionByName(across.select("shingle", "set_id", "n", "at", "first"))
     near = near.where(F.col("set_id") != F.col("first.set_id")).where(
