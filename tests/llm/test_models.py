@@ -140,6 +140,39 @@ def test_main_text_of_a_page(spark, model):
         html_content.extract_main_text(pages.withColumn("Text", F.lit("")), model)
 
 
+def said(html):
+    return [text for _, text, _ in read_page(html).pieces]
+
+
+@pytest.mark.parametrize(
+    "start",
+    [
+        "<head><title>T</title><meta charset=utf-8><body>",
+        "<html><head><title>T</title><script>x</script>",
+        "<head><noscript><img src=x></noscript><link rel=y>\n",
+        "<head><title>T<body>",
+        "<body><select><option>T<option>T",
+        "<noscript>T",
+        "<!-- <select> -->\n<nav><template>T</nav>",
+        "<div>\n<object data=x>T<object>T</object>",
+        "<svg><g><text>T</text></g>",
+        "<select><option>T<select><option>T</select>",
+        "<video>T",
+        "<textarea>T",
+    ],
+)
+def test_nothing_is_lost_behind_an_unclosed_element(start):
+    assert said(start + "<p>First <b>words</b>.<p>Second <i>words</i>.<svg><title>T</title></svg></html>") == ["First words.", "Second words."]
+
+
+def test_closed_unseen_elements_hold_their_blocks():
+    assert said("<head>Words<p>a</p>") == ["Words", "a"]
+    assert said("<p>a</p><head><p>b</p>") == ["a", "b"]
+    for tag in ("noscript", "template", "object", "textarea", "iframe", "svg", "select", "canvas"):
+        assert said(f"<head><title>T</title></head><body><p>a</p><{tag}><div><p>T</p>T</div>T</{tag}><{tag}/><p>b</p>") == ["a", "b"]
+    assert said("<select>\n" * 20_000) == []
+
+
 def test_layouts_that_were_not_learned(model):
     pages = [read_page(h) for h in labelled_pages(150, seed=991)]
     forest = html_content._forest(pages)

@@ -15,6 +15,10 @@ INLINE = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("head title script style noscript template svg math iframe object canvas audio video select textarea".split())
+#: What can stand in a head; html is no element of its own here.
+HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+#: Unseen elements that may hold others of their name.
+NESTED = frozenset("template svg math object".split())
 #: A start tag on the left closes an open element on the right, up to the nearest of the elements behind it.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -44,6 +48,8 @@ GROUPS = (
 )
 _GROUP = {tag: i for i, tags in enumerate(GROUPS) for tag in tags}
 OTHER = len(GROUPS)
+#: A start tag of these ends an unseen element that is never closed.
+BLOCKS = frozenset(_GROUP) | frozenset("caption center details dir hr search summary".split())
 
 #: Words in class, id and role, by what they hint at.
 HINTS = (
@@ -59,6 +65,9 @@ HINTS = (
 )
 _HINTS = [frozenset(words.split()) for words in HINTS]
 _WORD = re.compile(r"[a-z]+")
+_UNSEEN_TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<(/?)(" + "|".join(sorted(UNSEEN - {"head", "script", "style"})) + r")\b", re.S | re.I
+)
 _SENTENCE_END = re.compile(r"[.!?…](?:\s|$)")
 
 FEATURES = OTHER + 1 + 2 * len(HINTS) + 14
@@ -75,14 +84,53 @@ class Page:
     pieces: list[tuple[int, str, int]] = field(default_factory=list)
 
 
+def _never_closed(html: str) -> set[tuple[int, int]]:
+    """Line and column of each start tag of an unseen element that has no end tag; a head's is not needed."""
+    open_at: dict[str, list[int]] = {}
+    lost, stop = [], -1
+    for found in _UNSEEN_TAG.finditer(html):
+        if not found[3]:
+            continue
+        tag, at = found[3].lower(), found.start()
+        own = open_at.setdefault(tag, [])
+        if found[2]:
+            if own:
+                own.pop()
+            continue
+        if stop < at and (stop := html.find(">", at)) < 0:
+            break
+        if html[stop - 1] == "/":
+            continue
+        if tag not in NESTED:
+            lost += own
+            own.clear()
+        own.append(at)
+    lost += [at for own in open_at.values() for at in own]
+    places, line, begin, done = set(), 1, 0, 0
+    for at in sorted(lost):
+        if lines := html.count("\n", done, at):
+            line, begin = line + lines, html.rindex("\n", done, at) + 1
+        places.add((line, at - begin))
+        done = at
+    return places
+
+
 class _Reader(HTMLParser):
-    """Builds a Page; a piece is (block, text, characters of it inside links)."""
+    """Builds a Page; a piece is (block, text, characters of it inside links).
+
+    A head ends with the first thing that can't stand in it; an unseen element
+    without an end tag with the first block that begins in it, or with the
+    block around it.
+    """
 
-    def __init__(self):
+    def __init__(self, never_closed: set[tuple[int, int]]):
         super().__init__(convert_charrefs=True)
         self.page = Page()
         self._open: list[tuple[str, int]] = []
-        self._unseen = self._links = 0
+        self._never_closed = never_closed
+        #: Places in _open of unseen elements, and whether they are never closed.
+        self._unseen: list[tuple[int, bool]] = []
+        self._links = 0
         self._text: list[str] = []
         self._linked = 0
         self._add("body", [])
@@ -110,9 +158,18 @@ class _Reader(HTMLParser):
             self.end_piece()
         for tag, _ in self._open[at:]:
             self._links -= tag == "a"
-            self._unseen -= tag in UNSEEN
+        while self._unseen and self._unseen[-1][0] >= at:
+            self._unseen.pop()
         del self._open[at:]
 
+    def _end_unseen(self, tag: str) -> None:
+        """Ends the innermost unseen elements that can't hold this tag."""
+        while self._unseen:
+            at, never_closed = self._unseen[-1]
+            if tag in HEAD if self._open[at][0] == "head" else not never_closed or tag not in BLOCKS:
+                return
+            self._pop(at)
+
     def _close(self, tags, until=frozenset()) -> None:
         for at in range(len(self._open) - 1, 0, -1):
             if self._open[at][0] in tags:
@@ -122,6 +179,7 @@ class _Reader(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self._end_unseen(tag)
         if tag == "br":
             self._text.append(" ")
         if tag in VOID and tag != "hr":
@@ -135,8 +193,10 @@ class _Reader(HTMLParser):
             self._close(*CLOSES[tag])
         elif tag not in UNSEEN:
             self._close({"p"}, {"td", "th", "button", "li", "div", "article", "section"} if tag != "p" else {"td", "th", "button"})
+        if tag == "head" and (len(self.page.tags) > 1 or self.page.pieces or "".join(self._text).strip()):
+            return
         if tag in UNSEEN:
-            self._unseen += 1
+            self._unseen.append((len(self._open), self.getpos() in self._never_closed))
             self._open.append((tag, self._open[-1][1]))
             return
         self.end_piece()
@@ -151,6 +211,7 @@ class _Reader(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body"):
+            self._end_unseen("body")
             self.end_piece()
         elif tag == "br":
             self._text.append(" ")
@@ -158,6 +219,8 @@ class _Reader(HTMLParser):
             self._close({tag})
 
     def handle_data(self, data: str) -> None:
+        if self._unseen and self._open[-1][0] == "head" and data.strip():
+            self._pop(self._unseen[-1][0])
         if self._unseen:
             return
         self._text.append(data)
@@ -167,7 +230,7 @@ class _Reader(HTMLParser):
 
 def read_page(html: str | None) -> Page:
     """The blocks and texts of a page; a null or empty one has its root alone."""
-    reader = _Reader()
+    reader = _Reader(_never_closed(html) if html else set())
     if html:
         reader.feed(html)
         reader.close()
