@@ -3,6 +3,11 @@
 A shingle is kept in every text that has it or in none, so sketches of parts can
 be merged, and the share of common hashes estimates how alike, or how far
 contained in each other, two texts are, however unequal their lengths.
+
+Of a set of n shingles the sketch is empty with probability (1 - 1 / SCALE)**n:
+0.32 for 4, 0.10 for 8, 0.01 for 16. Below some 16 shingles (20 words) a likeness
+other than that of equal sets means nothing; a text's number of shingles is
+in its fingerprint.
 """
 
 from __future__ import annotations
