@@ -1,0 +1,71 @@
+"""Exact copies against a plain grouping; SQL's agreement is in test_chat_and_shards."""
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm import exact
+
+TEXTS = ["", None, " ", "a", "A", "a ", "á", "á", "word " * 40_000, "x\ny", "\U0001F642"]
+
+
+def rows_of(number):
+    """Every third row holds one text; keys repeat now and then, some are null."""
+    return [(None if k % 50 == 7 else k // 2, "hot" if k % 3 == 0 else TEXTS[k % 11] if k % 5 else f"own {k // 2}") for k in range(number)]
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for key, text in rows:
+        groups[text or ""].append(key)
+    best = {text: max((k for k in keys if k is not None), default=None) for text, keys in groups.items()}
+    digest = {text: hashlib.sha256(text.encode()).hexdigest() for text in groups}
+    return sorted((key, best[text or ""], len(groups[text or ""]), key == best[text or ""], digest[text or ""]) for key, text in rows if key is not None), sum(
+        key is None for key, _ in rows
+    )
+
+
+def frame(spark, rows, parts=7):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts).withColumns({"salt": F.lit(1), "digest": F.lit("clash"), "keep_id": F.lit(0)})
+
+
+def weak(text):
+    return F.length(text).cast("string")
+
+
+@pytest.mark.parametrize("digest", [exact.sha256, weak, lambda t: F.lit("same"), lambda t: F.substring(F.md5(t), 1, 8)])
+@pytest.mark.parametrize("frequent", [3, 1_000])
+def test_groups_against_plain_grouping(spark, digest, frequent):
+    rows = rows_of(400)
+    found = exact.exact_groups(frame(spark, rows), digest=digest, salts=3, frequent=frequent).collect()
+    expected, nulls = brute(rows)
+    assert sorted(tuple(r) for r in found if r.doc_id is not None) == expected
+    assert sum(r.doc_id is None for r in found) == nulls and not any(r.kept for r in found if r.doc_id is None)
+
+
+def test_null_keys_stay_where_there_is_no_other(spark):
+    found = exact.exact_groups(frame(spark, [(None, "a"), (None, "a"), (None, "b"), (1, "b")])).collect()
+    assert sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in found) == [(0, 0, 2, True), (0, 0, 2, True), (0, 1, 2, False), (1, 1, 2, True)]
+
+
+def test_repeated_rows_stay_once(spark):
+    rows = [(3, "a"), (3, "a"), (1, "a"), (1, "b"), (1, None), (0, "")]
+    found = {r.text_sha256: (r.doc_id, r.group_size) for r in exact.keep_one(frame(spark, rows)).collect()}
+    assert found == {hashlib.sha256(t.encode()).hexdigest(): v for t, v in {"a": (3, 3), "b": (1, 1), "": (1, 2)}.items()}
+
+
+def test_an_empty_frame(spark):
+    assert exact.exact_groups(frame(spark, [])).count() == 0
+
+
+def test_no_python_runs_and_no_text_moves_after_the_winners(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = exact.exact_groups(frame(spark, rows_of(50)), frequent=3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Python" not in plan and "Arrow" not in plan
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert moved and not any("text" in line for line in moved)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import bpe, chat, fingerprints, html_content, jaccard, lattice, packing, quality, sharding, sql, toxicity
+from tillroll.llm import bpe, chat, exact, fingerprints, html_content, jaccard, lattice, packing, quality, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, CAPACITY)
 
 
+def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.exact_groups(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sharding": op2_sharding,
@@ -79,9 +83,11 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 SQL: dict[str, str] = {
     "op2_sharding": sql.SHARDING,
     "op5_chat_formatting": sql.CHAT,
+    "op11_exact_dedup": sql.EXACT,
 }

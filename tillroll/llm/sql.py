@@ -47,3 +47,12 @@ SELECT conv_id, count(*) AS n_turns,
        (sum(total) FILTER (role = 'assistant' OR k = n))::BIGINT AS formatted_chars
 FROM upto GROUP BY conv_id
 """
+
+EXACT = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
