@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import bpe, chat, exact, fingerprints, html_content, jaccard, lattice, packing, quality, sharding, sql, toxicity
+from tillroll.llm import bpe, chat, exact, fingerprints, html_content, jaccard, lattice, packing, quality, runs, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,44 @@ def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+def repeated(documents: DataFrame) -> DataFrame:
+    """doc_id and text, some of them (crc32 of doc_id divisible by 10) with a tail that repeats a period of words.
+
+    With g the tenth of the hash, word i >= a becomes word a + (i - a) % p of
+    the text: a = g % n, p = 1 + (n - a) div (3 + g % 8). A null doc_id counts as
+    an empty text.
+    """
+    hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.when(hashed % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    n, g = F.col("n"), F.call_function("div", F.col("h"), F.lit(10))
+    start = documents.select("doc_id", "text", hashed.alias("h"), words.alias("words")).withColumn("n", F.size("words").cast("long"))
+    placed = start.where("n > 0").withColumn("a", g % n).withColumn("p", 1 + F.call_function("div", n - F.col("a"), 3 + g % 8))
+    tail = F.transform(F.sequence(F.lit(0).cast("long"), n - F.col("a") - 1), lambda i: F.get("words", (F.col("a") + i % F.col("p")).cast("int")))
+    joined = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return placed.select("doc_id", joined.alias("text")).unionByName(start.where("n is null or n <= 0").select("doc_id", "text"))
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """The runs of find_runs as numbers and digests: the longest run, and hashes of all runs and of the words that are left."""
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[x].cast("string") for x in ("start", "length", "period"))), F.lit("\n")))
+    rows = found.withColumns({"best": best, "lines": F.array_join(lines, "")})
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.call_function("div", 1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(runs.find_runs(repeated(table(spark, folder, "documents"))))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sharding": op2_sharding,
@@ -84,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 SQL: dict[str, str] = {
