@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillroll.llm import bpe, chat, exact, fingerprints, html_content, jaccard, lattice, packing, quality, runs, sharding, sql, toxicity
+from tillroll.llm import bpe, chat, exact, fingerprints, html_content, jaccard, lattice, packing, quality, repair, runs, sharding, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,11 +82,12 @@ def repeated(documents: DataFrame) -> DataFrame:
     hashed = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     words = F.when(hashed % 10 == 0, F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     n, g = F.col("n"), F.call_function("div", F.col("h"), F.lit(10))
-    start = documents.select("doc_id", "text", hashed.alias("h"), words.alias("words")).withColumn("n", F.size("words").cast("long"))
-    placed = start.where("n > 0").withColumn("a", g % n).withColumn("p", 1 + F.call_function("div", n - F.col("a"), 3 + g % 8))
+    rows = documents.select("doc_id", "text", hashed.alias("h"), words.alias("words")).withColumn("n", F.size("words").cast("long"))
+    some = n > 0
+    rows = rows.withColumn("a", F.when(some, g % n)).withColumn("p", 1 + F.call_function("div", n - F.col("a"), 3 + g % 8))
     tail = F.transform(F.sequence(F.lit(0).cast("long"), n - F.col("a") - 1), lambda i: F.get("words", (F.col("a") + i % F.col("p")).cast("int")))
     joined = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a").cast("int")), tail), " ")
-    return placed.select("doc_id", joined.alias("text")).unionByName(start.where("n is null or n <= 0").select("doc_id", "text"))
+    return rows.select("doc_id", F.when(some, joined).otherwise(F.col("text")).alias("text"))
 
 
 def run_digests(found: DataFrame) -> DataFrame:
@@ -110,6 +111,42 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return run_digests(runs.find_runs(repeated(table(spark, folder, "documents"))))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role and text with faults by crc32 of `conv_id:turn`, modulo 20.
+
+    0: the row goes; 1: no text; 2: no . ! ?; 3: the row twice; 4: the role is
+    user. Null roles and texts, and null numbers in the hashed text, are one space.
+    """
+    space = F.lit(" ")
+    number = lambda name: F.coalesce(F.col(name).cast("string"), space)
+    fault, text = F.crc32(F.concat(number("conv_id"), F.lit(":"), number("turn"))) % 20, F.coalesce("text", space)
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"), fault.alias("fault")).where("fault > 0")
+    fault = F.col("fault")
+    changed = rows.withColumns(
+        {
+            "text": F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")),
+            "role": F.when(fault == 4, "user").otherwise(F.col("role")),
+        }
+    )
+    times = F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return changed.select("conv_id", "turn", "role", "text", times.alias("copy")).drop("copy")
+
+
+def repair_digests(edits: DataFrame, summary: DataFrame) -> DataFrame:
+    """The summary and a hash of each conversation's repaired turns, which are one text for the purpose."""
+    line = F.concat("role", F.lit(":"), "text")
+    turns = edits.where("edit <> 'D'").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("id", "step", line.alias("line")))).alias("turns"))
+    repaired = F.array_join(F.transform("turns", lambda x: x["line"]), "\n")
+    hashed = turns.select(F.col("conv_id").alias("conv"), F.sha2(repaired, 256).alias("repaired_sha256"))
+    joined = summary.join(hashed, summary["conv_id"].eqNullSafe(hashed["conv"]), "left").drop("conv")
+    return joined.withColumn("repaired_sha256", F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair_digests(*repair.repairs(damaged(conversations), every=conversations))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_sharding": op2_sharding,
@@ -123,6 +160,7 @@ QUERIES: dict[str, Query] = {
     "op10_best_fit_packing": op10_best_fit_packing,
     "op11_exact_dedup": op11_exact_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {
