@@ -166,6 +166,46 @@ def _append_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _in_work_folder(spark, work)
 
 
+def _append_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the raw lines, append them again, and count what both loads together are: the second adds but duplicates."""
+
+    def work(table: str) -> DataFrame:
+        for full_refresh in (True, False):
+            publish.load_raw(retail_lines(spark, folder), table, full_refresh)
+        kinds = publish.read_fact(spark, table).groupBy("sales_month", "transaction_category")
+        return kinds.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_revenue").cast("double").alias("revenue"))
+
+    return _in_work_folder(spark, work)
+
+
+def _quarantine_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Load the untidy lines and set apart what can't be published: lines by fate, published or why not, and revenue."""
+
+    def work(table: str) -> DataFrame:
+        text = text_lines(spark, folder)
+        publish.load_raw(text, table, expected_rows=text.count(), quarantine_limit=2**62)
+        good = publish.read_fact(spark, table).select(F.lit("published").alias("fate"), "line_revenue")
+        apart = publish.quarantined(spark, table).select(F.array_join("reasons", ",").alias("fate"), F.lit(None).alias("line_revenue"))
+        fates = good.unionByName(apart).groupBy("fate")
+        return fates.agg(F.count(F.lit(1)).alias("lines"), F.sum("line_revenue").cast("double").alias("revenue"))
+
+    return _in_work_folder(spark, work)
+
+
+def _written_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What the load job writes about itself, read back: parts of its report and the size in its profile."""
+
+    def work(base: str) -> DataFrame:
+        retail_lines(spark, folder).write.parquet(f"{base}/raw")
+        run_etl(spark, f"{base}/raw", f"{base}/fact", profile_path=f"{base}/profile", report_path=f"{base}/report")
+        report = spark.read.parquet(f"{base}/report")
+        wanted = F.col("name").isin("total_rows", "duplicates", "normal_sales", "status") | F.concat_ws(".", "section", "name").isin("run.raw_rows", "steps.profile")
+        size = spark.read.parquet(f"{base}/profile/size").select(F.lit("profile").alias("section"), F.lit("rows").alias("name"), F.col("rows").cast("string").alias("value"))
+        return report.where(wanted).unionByName(size)
+
+    return _in_work_folder(spark, work)
+
+
 def _user_sql(spark: SparkSession, folder: str) -> DataFrame:
     """A user's SQL over the published fact, one row for each country."""
 
@@ -269,6 +309,9 @@ def retail_queries() -> dict[str, Query]:
         "untidy_revenue_mismatches": _on_raw(_untidy_revenue_mismatches),
         "validation_summary": _on_text(_validation_summary),
         "append_roundtrip": _append_roundtrip,
+        "append_duplicates": _append_duplicates,
+        "quarantine_roundtrip": _quarantine_roundtrip,
+        "written_report": _written_report,
         "user_sql": _user_sql,
         "publish_roundtrip": _publish_roundtrip,
         "load_job": _load_job,

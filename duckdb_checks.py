@@ -58,7 +58,7 @@ numbered AS (
   FROM cleaned
 ),
 flagged AS (
-  SELECT *, CAST(quantity * unit_price AS DECIMAL(30,6)) AS line_revenue,
+  SELECT *, CAST(round(quantity * unit_price, 4) AS DECIMAL(30,6)) AS line_revenue,
          CAST(occurrence > 1 AS INT) AS is_duplicate,
          CAST(invoice_no LIKE 'C%' AS INT) AS is_cancelled,
          CAST(quantity < 0 AS INT) AS is_negative_quantity, CAST(quantity = 0 AS INT) AS is_zero_quantity,
@@ -639,6 +639,25 @@ CHECKS = {
         """SELECT sales_month, 2 * COUNT(*) AS lines, 2 * COUNT(*) AS line_ids,
         CAST(2 * SUM(line_revenue) AS DOUBLE) AS revenue FROM fact GROUP BY sales_month"""
     ),
+    "append_duplicates": _with(
+        """SELECT sales_month, transaction_category, COUNT(*) AS lines, CAST(SUM(line_revenue) AS DOUBLE) AS revenue
+        FROM (SELECT sales_month, transaction_category, line_revenue FROM fact
+              UNION ALL SELECT sales_month, 'DUPLICATE', line_revenue FROM fact) GROUP BY 1, 2"""
+    ),
+    "quarantine_roundtrip": _with(
+        """SELECT CASE WHEN k % 73 = 0 AND k % 71 = 0 THEN 'InvoiceNo:missing,InvoiceDate:unreadable' WHEN k % 73 = 0 THEN 'InvoiceNo:missing'
+        WHEN k % 71 = 0 THEN 'InvoiceDate:unreadable' ELSE 'published' END AS fate, COUNT(*) AS lines,
+        CAST(SUM(CASE WHEN k % 73 <> 0 AND k % 71 <> 0 THEN round(quantity * CAST(unit_price AS DECIMAL(18,6)), 4) END) AS DOUBLE) AS revenue
+        FROM tidied GROUP BY 1""",
+        TIDIED,
+    ),
+    "written_report": _with(
+        f"""SELECT a.section, a.name, a.value FROM ({LOAD_AUDIT}) l,
+        LATERAL (VALUES ('audit', 'total_rows', CAST(l.total_rows AS VARCHAR)), ('audit', 'duplicates', CAST(l.duplicates AS VARCHAR)),
+                        ('audit', 'normal_sales', CAST(l.normal_sales AS VARCHAR)), ('run', 'status', 'SUCCESS'),
+                        ('run', 'raw_rows', CAST(l.total_rows AS VARCHAR)), ('steps', 'profile', 'SUCCESS'),
+                        ('profile', 'rows', CAST(l.total_rows AS VARCHAR))) AS a(section, name, value)"""
+    ),
     "user_sql": _with(
         "SELECT country, COUNT(*) AS sales FROM fact WHERE is_normal_sale = 1 AND quantity > 10 GROUP BY country"
     ),

@@ -1,9 +1,12 @@
+import json
+from pathlib import Path
+
 import pytest
-from samples import LOADED, line, only, raw_frame
+from samples import LOADED, TEXT_SCHEMA, line, only, raw_frame
 
 from pyspark.sql import functions as F
 
-from tillroll.errors import DataQualityError, FactNotPublishedError
+from tillroll.errors import ConcurrentLoadError, DataQualityError, FactNotPublishedError
 from tillroll.operators.cleaning import transform_retail
 from tillroll.operators.filters import ReportFilter
 from tillroll.plans import publish, sales
@@ -52,6 +55,153 @@ def test_append_adds(spark, table):
     assert publish.read_fact(spark, table).count() == publish.current_version(spark, table).rows == 5
 
 
+def test_lines_that_are_added_again_are_duplicates(spark, table):
+    publish.load_raw(raw_frame(spark, LOADED[:3]), table)
+    more = [LOADED[0], LOADED[0], LOADED[2], line("new", date="2010-12-05 10:00:00"), line("old", date="2009-01-05 10:00:00")]
+    audit = publish.load_raw(raw_frame(spark, more), table, full_refresh=False)
+    assert (audit["total_rows"], audit["duplicates"]) == (5, 3)
+    fact = publish.read_fact(spark, table)
+    marks = {(r.invoice_no, r.copies, r.marked) for r in fact.groupBy("invoice_no").agg(F.count("*").alias("copies"), F.sum("is_duplicate").alias("marked")).collect()}
+    assert marks == {("536365", 3, 2), ("C536366", 1, 0), ("536367", 2, 1), ("new", 1, 0), ("old", 1, 0)}
+    assert {r.transaction_category for r in fact.where("is_duplicate = 1").collect()} == {"DUPLICATE"}
+    assert fact.select("line_id").distinct().count() == 8
+    assert only(fact.agg(F.sum(F.expr("IF(is_duplicate = 0, line_revenue, 0)")).cast("double").alias("kept")))["kept"] == 15 - 5 + 12 + 1 + 1
+
+
+@pytest.mark.parametrize("load", ["raw", "transformed"])
+def test_a_third_load_goes_on_counting(spark, table, load):
+    rows = [LOADED[0]] * 3 + [line(date="2011-05-01 00:00:00", quantity=None, customer=None)]
+    for number in range(3):
+        raw = raw_frame(spark, rows)
+        load_of = publish.load_raw if load == "raw" else lambda frame, *rest: publish.load_transformed(transform_retail(frame), *rest)
+        load_of(raw, table, False)
+        fact = publish.read_fact(spark, table)
+        assert fact.count() == 4 * (number + 1) == fact.select("line_id").distinct().count()
+        assert fact.where("is_duplicate = 0").count() == 2
+
+
+def test_only_the_months_of_new_lines_are_compared(spark, table):
+    rows = [line(str(m), date=f"2011-{m:02d}-15 10:00:00") for m in range(1, 13)]
+    publish.load_raw(raw_frame(spark, rows), table)
+    segments = publish.current_version(spark, table).segments
+    dates = [only(spark.sql(f"SELECT TIMESTAMP_NTZ '2011-0{m}-15 10:00:00' AS d"))["d"] for m in (3, 4)]
+    found = publish.earlier_copies(spark, table, segments, *dates)
+    assert found.count() == 2
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "(sales_month#" in plan.split("PartitionFilters: [")[1].split("]")[0] and "ReadSchema: struct<line_id:string>" in plan
+    assert publish.earlier_copies(spark, table, segments, None, None).count() == 0
+
+
+class Interleaved:
+    """Lets another load run to its end between the staging and the publishing of the next one."""
+
+    def __init__(self, monkeypatch, other, times=1):
+        check, self.left = publish.check_staged, times
+
+        def checked(*args):
+            found = check(*args)
+            if self.left:
+                self.left -= 1
+                left, self.left = self.left, 0
+                other()
+                self.left = left
+            return found
+
+        monkeypatch.setattr(publish, "check_staged", checked)
+
+
+@pytest.mark.parametrize("full_refresh", [True, False])
+def test_two_loads_at_once_lose_nothing(spark, table, monkeypatch, full_refresh):
+    publish.load_raw(raw_frame(spark, LOADED[:1]), table)
+    Interleaved(monkeypatch, lambda: publish.load_raw(raw_frame(spark, LOADED[:2]), table, False))
+    audit = publish.load_raw(raw_frame(spark, LOADED), table, full_refresh)
+    fact, version = publish.read_fact(spark, table), publish.current_version(spark, table)
+    assert publish.history(spark, table).count() == version.version == 3
+    if full_refresh:
+        assert fact.count() == version.rows == 5 and audit["duplicates"] == 1
+    else:
+        assert fact.count() == version.rows == 8 and len(version.segments) == 3
+        # Lines of the other load were looked at again.
+        assert fact.where("is_duplicate = 0").count() == 4 and audit["duplicates"] == 3
+
+
+def test_first_loads_at_once(spark, table, monkeypatch):
+    Interleaved(monkeypatch, lambda: publish.load_raw(raw_frame(spark, LOADED[:2]), table))
+    publish.load_raw(raw_frame(spark, LOADED), table, False)
+    assert publish.read_fact(spark, table).count() == 7 and publish.current_version(spark, table).version == 2
+
+
+def test_a_load_that_is_always_late_gives_up(spark, table, monkeypatch):
+    monkeypatch.setattr(publish, "ATTEMPTS", 2)
+    Interleaved(monkeypatch, lambda: publish.load_raw(raw_frame(spark, LOADED[:2]), table, False), times=5)
+    with pytest.raises(ConcurrentLoadError):
+        publish.load_raw(raw_frame(spark, LOADED[2:]), table, False)
+    assert publish.current_version(spark, table).version == 2 and publish.read_fact(spark, table).count() == 4
+
+
+def test_a_version_is_created_once(spark, table):
+    name = f"{table}/manifest/v1.json"
+    assert publish._put_if_absent(spark, name, "one") and not publish._put_if_absent(spark, name, "two")
+    assert [r.value for r in spark.read.text(name).collect()] == ["one"]
+    assert len(list((Path(table) / "manifest").glob(".v1*"))) == 0
+
+
+BAD = [
+    line("1", date="soon"), line("2", quantity="9" * 30), line("3", price="1e13"), line("4", quantity="x"), line(None, country=" "),
+    line("5", quantity="9223372036854775807", price="999999999999"), line("6", date=None, price="1e13"), line("1", date="soon"), line("7"),
+]
+REASONS = [
+    ["Country:missing"], ["InvoiceDate:missing", "UnitPrice:beyond"], ["InvoiceDate:unreadable"], ["InvoiceDate:unreadable"],
+    ["InvoiceNo:missing"], ["LineRevenue:beyond"], ["Quantity:beyond"], ["UnitPrice:beyond"],
+]
+
+
+def test_lines_that_cannot_be_published_are_set_apart(spark, table):
+    rows = [tuple(None if x is None else str(x) for x in r) for r in BAD] + [tuple(map(str, line("8", country=None)))[:7] + (None,)]
+    raw = raw_frame(spark, rows, TEXT_SCHEMA)
+    audit = publish.load_raw(raw, table, expected_rows=10, quarantine_limit=8)
+    apart = publish.quarantined(spark, table)
+    # A country of white space is text, as it always was; a missing one is a reason.
+    assert sorted(r.reasons for r in apart.collect()) == REASONS
+    assert audit["total_rows"] == publish.read_fact(spark, table).count() == 2 and audit["quarantined"] == 8
+    lines = [json.loads(r.raw_line) for r in apart.where("array_contains(reasons, 'Quantity:beyond')").collect()]
+    assert lines[0]["Quantity"] == "9" * 30 and lines[0]["CustomerID"] is None and len(lines[0]) == 8
+    version = publish.current_version(spark, table)
+    assert (version.rows, version.quarantined) == (2, 8)
+    publish.load_raw(raw, table, full_refresh=False, quarantine_limit=8)
+    version = publish.current_version(spark, table)
+    assert (version.rows, version.quarantined) == (4, 16)
+    assert publish.read_fact(spark, table).where("is_duplicate = 1").count() == 2
+
+
+def test_too_many_lines_to_set_apart_publish_nothing(spark, table):
+    raw = raw_frame(spark, [line(date="soon"), line(date="later"), line()])
+    with pytest.raises(DataQualityError, match="2 lines can't be published where 1 are allowed"):
+        publish.load_raw(raw, table, quarantine_limit=1)
+    with pytest.raises(DataQualityError, match="Required columns hold nulls"):
+        publish.load_raw(raw, table)
+    with pytest.raises(FactNotPublishedError):
+        publish.read_fact(spark, table)
+
+
+def test_all_lines_set_apart(spark, table):
+    audit = publish.load_raw(raw_frame(spark, [line(date="soon")]), table, quarantine_limit=1)
+    assert audit["total_rows"] == publish.read_fact(spark, table).count() == 0 and publish.quarantined(spark, table).count() == 1
+
+
+def test_old_segments_go(spark, table):
+    for _ in range(3):
+        publish.load_raw(raw_frame(spark, LOADED), table)
+    publish.load_raw(raw_frame(spark, LOADED), table, full_refresh=False)
+    segments = {tuple(r.segments) for r in publish.history(spark, table).where("version < 3").collect()}
+    assert publish.remove_unreferenced(spark, table, 2) == []
+    assert publish.remove_unreferenced(spark, table, 2, 0) == sorted(x for s in segments for x in s)
+    assert publish.read_fact(spark, table).count() == publish.current_version(spark, table).rows == 10
+    assert publish.remove_unreferenced(spark, table, 1, 0) == []
+    with pytest.raises(ValueError):
+        publish.remove_unreferenced(spark, table, 0)
+
+
 def test_append_to_nothing_is_a_first_load(spark, table):
     publish.load_transformed(transformed(spark), table, full_refresh=False)
     assert publish.read_fact(spark, table).count() == 5

@@ -17,6 +17,10 @@ class FactNotPublishedError(LookupError):
     """A report was asked of a table that has no published version."""
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Other loads published new versions as often as this one tried to."""
+
+
 class EtlError(RuntimeError):
     """The load job stopped; ``steps`` tells how far it came."""
 

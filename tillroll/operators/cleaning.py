@@ -3,11 +3,11 @@
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillroll.errors import MissingColumnsError
 from tillroll.functions import parsing
-from tillroll.operators.duplicates import detect_duplicates
+from tillroll.operators.duplicates import content_hash, detect_duplicates
 from tillroll.schema import (
     CATEGORIES,
     FLAG_COLUMNS,
@@ -16,6 +16,7 @@ from tillroll.schema import (
     PRICE_TYPE,
     RAW_COLUMNS,
     RAW_TO_FACT,
+    REJECT_COLUMNS,
     REVENUE_TYPE,
 )
 
@@ -35,14 +36,13 @@ def clean_text_fields(lines: DataFrame) -> DataFrame:
     A null description becomes UNSPECIFIED, one of white space becomes empty;
     both are flagged.
     """
+    names = ["InvoiceNo", "StockCode", "Country", "Description"]
+    stripped = lines.withColumns({name: parsing.strip(F.col(name)) for name in names})
     description = F.col("Description")
-    return lines.withColumns(
+    return stripped.withColumns(
         {
-            "InvoiceNo": parsing.strip(F.col("InvoiceNo")),
-            "StockCode": parsing.strip(F.col("StockCode")),
-            "Country": parsing.strip(F.col("Country")),
-            "Description": F.coalesce(parsing.strip(description), F.lit(MISSING_DESCRIPTION)),
-            "is_missing_description": parsing.is_blank(description),
+            "Description": F.coalesce(description, F.lit(MISSING_DESCRIPTION)),
+            "is_missing_description": description.isNull() | (description == ""),
         }
     )
 
@@ -54,27 +54,62 @@ def convert_data_types(lines: DataFrame) -> DataFrame:
     that a load refuses it instead of publishing it as 0.
     """
 
-    def parsed(name, parse):
-        return parse(F.col(name), lines.schema[name].dataType)
+    return _typed(parsing.with_values(lines), lines.columns)
 
-    def or_none(name, parse, beyond, zero):
-        return F.when(~parsed(name, beyond), F.coalesce(parsed(name, parse), zero))
 
-    whole = or_none("Quantity", parsing.parse_whole_number, parsing.is_beyond_whole_number, F.lit(0).cast("bigint"))
-    price = or_none("UnitPrice", parsing.parse_price, parsing.is_beyond_price, F.lit(0).cast(PRICE_TYPE))
-    return lines.withColumns(
-        {
-            "Quantity": whole,
-            "InvoiceDate": parsed("InvoiceDate", parsing.parse_timestamp),
-            "UnitPrice": price,
-            "CustomerID": parsed("CustomerID", parsing.parse_whole_number),
-        }
-    )
+def _typed(read: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns, those in READERS as the values that were read."""
+    zeros = {"Quantity": F.lit(0).cast("bigint"), "UnitPrice": F.lit(0).cast(PRICE_TYPE)}
+
+    def value(name):
+        found = F.col(f"value_{name}")
+        if name not in zeros:
+            return found
+        return F.when(F.coalesce(F.col(f"state_{name}") != parsing.BEYOND, F.lit(True)), F.coalesce(found, zeros[name]))
+
+    columns = {name: value(name) if name in parsing.READERS else F.col(name) for name in names}
+    if any(isinstance(read.schema[name].dataType, T.StringType) for name in parsing.READERS):
+        # Conditions on the result stay above a generator: none is put on the text, to be read for it once more.
+        return read.select(F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+    return read.select(*[column.alias(name) for name, column in columns.items()])
+
+
+def _rejected(read: DataFrame) -> Column:
+    """Why a line cannot be published: column:reason, joined by commas; null if it can.
+
+    Reasons are missing, for fields that a line must have, unreadable and beyond
+    (its type).
+    """
+    states = {name: F.col(f"state_{name}") for name in ("Quantity", "InvoiceDate", "UnitPrice")}
+    product = F.try_multiply("value_Quantity", "value_UnitPrice").try_cast(REVENUE_TYPE)
+    held = F.col("value_Quantity").isNotNull() & F.col("value_UnitPrice").isNotNull()
+    rules = {
+        **{f"{name}:missing": F.col(name).isNull() for name in ("InvoiceNo", "StockCode", "Country")},
+        "Quantity:beyond": states["Quantity"] == parsing.BEYOND,
+        "InvoiceDate:missing": F.col("value_InvoiceDate").isNull() & states["InvoiceDate"].isNull(),
+        "InvoiceDate:unreadable": states["InvoiceDate"].isNotNull(),
+        "UnitPrice:beyond": states["UnitPrice"] == parsing.BEYOND,
+        "LineRevenue:beyond": held & product.isNull(),
+    }
+    return F.nullif(F.concat_ws(",", *[F.when(rule, code) for code, rule in rules.items()]), F.lit(""))
+
+
+def set_rejects_apart(lines: DataFrame) -> DataFrame:
+    """clean_text_fields and convert_data_types in one, with ``reasons`` and ``raw_line`` for lines that can't be published.
+
+    Both are null for all others. ``raw_line`` is the line as it was read, as JSON.
+    """
+    raw = F.to_json(F.struct(*[F.col(name).cast("string").alias(name) for name in RAW_COLUMNS]), {"ignoreNullFields": "false"})
+    cleaned = clean_text_fields(lines.withColumn("raw_line", raw))
+    read = parsing.with_values(cleaned).withColumn("reasons", _rejected(cleaned))
+    read = read.withColumn("raw_line", F.when(F.col("reasons").isNotNull(), F.col("raw_line")))
+    return _typed(read, [*cleaned.columns, "reasons"])
 
 
 def calculate_line_revenue(lines: DataFrame) -> DataFrame:
-    """LineRevenue = Quantity * UnitPrice, exact; null where the product is beyond its type."""
-    return lines.withColumn("LineRevenue", F.try_multiply("Quantity", "UnitPrice").try_cast(REVENUE_TYPE))
+    """LineRevenue = Quantity * UnitPrice, rounded half up to four places; null where the product is beyond its type."""
+    product = F.try_multiply("Quantity", "UnitPrice").try_cast(REVENUE_TYPE)
+    return lines.withColumn("LineRevenue", F.round(product, 4).try_cast(REVENUE_TYPE))
 
 
 def classify_transactions(lines: DataFrame) -> DataFrame:
@@ -102,16 +137,20 @@ def classify_transactions(lines: DataFrame) -> DataFrame:
     )
 
 
-def transform_retail(raw: DataFrame, spread: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """Clean, type, mark and classify raw lines: one shuffle, row count kept; spread as in detect_duplicates."""
-    return (
-        raw.transform(standardize_columns)
-        .transform(clean_text_fields)
-        .transform(convert_data_types)
-        .transform(detect_duplicates, spread=spread)
-        .transform(calculate_line_revenue)
-        .transform(classify_transactions)
-    )
+def transform_retail(
+    raw: DataFrame,
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+    earlier: DataFrame | None = None,
+    quarantine: bool = False,
+) -> DataFrame:
+    """Clean, type, mark and classify raw lines: one shuffle, row count kept; spread and earlier as in detect_duplicates.
+
+    With ``quarantine`` lines that cannot be published have ``reasons`` and ``raw_line``.
+    """
+    lines = standardize_columns(raw)
+    typed = set_rejects_apart(lines) if quarantine else convert_data_types(clean_text_fields(lines))
+    marked = detect_duplicates(typed, spread=spread, earlier=earlier)
+    return classify_transactions(calculate_line_revenue(marked))
 
 
 def to_fact(transformed: DataFrame, batch: int = 0) -> DataFrame:
@@ -124,19 +163,12 @@ def to_fact(transformed: DataFrame, batch: int = 0) -> DataFrame:
     present = set(transformed.columns)
     occurrence = F.col("occurrence") if "occurrence" in present else F.lit(1)
     category = F.col("transaction_category") if "transaction_category" in present else F.lit("UNKNOWN")
-    content = F.to_json(
-        F.array(
-            *[
-                (F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS") if name == "InvoiceDate" else F.col(name).cast("string"))
-                for name in RAW_COLUMNS
-            ]
-        )
-    )
     return transformed.select(
-        F.concat_ws("-", F.md5(content), F.lit(batch), occurrence).alias("line_id"),
+        F.concat_ws("-", content_hash(), F.lit(batch), occurrence).alias("line_id"),
         *[F.col(raw).alias(name) for raw, name in RAW_TO_FACT.items()],
         *[(F.col(flag).cast("int") if flag in present else F.lit(0)).alias(flag) for flag in FLAG_COLUMNS],
         category.alias("transaction_category"),
         F.current_timestamp().alias("loaded_at"),
         F.date_format("InvoiceDate", "yyyy-MM").alias("sales_month"),
+        *[F.col(name) for name in REJECT_COLUMNS if name in present],
     )

@@ -2,9 +2,9 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tillroll.schema import RAW_COLUMNS
+from tillroll.schema import RAW_COLUMNS, REJECT_COLUMNS
 
 # Copies that are written out from one row of the counted groups.
 COPIES_PER_BLOCK = 10_000
@@ -14,6 +14,7 @@ def detect_duplicates(
     lines: DataFrame,
     copies_per_block: int = COPIES_PER_BLOCK,
     spread: Callable[[DataFrame], DataFrame] | None = None,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Flag the second and later copies of rows equal on all eight columns.
 
@@ -27,25 +28,57 @@ def detect_duplicates(
     months. The columns are grouped as one struct, which takes half the time of
     eight keys where nearly every line is unique.
 
+    ``earlier``, of columns ``content`` (a content_hash, one row each) and
+    ``earlier``, says how many copies there were before these lines: the numbers
+    go on from there. It meets the groups, one row for each content, so no key
+    of that join is hot.
+
     Adds ``occurrence`` (1 for the first copy) and ``is_duplicate``; the row
-    count stays, nulls are equal to each other.
+    count stays, nulls are equal to each other. Lines with a ``reasons`` column
+    are equal only if that and ``raw_line`` are.
     """
     if "is_missing_description" not in lines.columns:
         lines = lines.withColumn("is_missing_description", F.lit(False))
+    kept = [*RAW_COLUMNS, *[name for name in REJECT_COLUMNS if name in lines.columns]]
     copies, missing, block = F.col("copies"), F.col("missing_copies"), F.col("block")
-    groups = lines.groupBy(F.struct(*RAW_COLUMNS).alias("line")).agg(
+    groups = lines.groupBy(F.struct(*kept).alias("line")).agg(
         F.count(F.lit(1)).alias("copies"),
         F.count_if("is_missing_description").alias("missing_copies"),
     )
     last_block = F.call_function("div", copies - 1, F.lit(copies_per_block).cast("bigint"))
     flat = groups.select("line.*", "copies", "missing_copies")
+    if earlier is None:
+        before = F.lit(0).cast("bigint")
+    else:
+        before = F.coalesce("earlier", F.lit(0).cast("bigint"))
+        flat = flat.withColumn("content", content_hash()).join(earlier.select("content", "earlier"), "content", "left").drop("content")
     blocks = flat.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
     blocks = blocks if spread is None else blocks.transform(spread)
     numbers = F.sequence(block * copies_per_block + 1, F.least(copies, (block + 1) * copies_per_block))
     occurrence = F.col("occurrence")
+    number = occurrence + before
     return blocks.withColumn("occurrence", F.explode(numbers)).select(
-        *RAW_COLUMNS,
+        *kept,
         (occurrence > copies - missing).alias("is_missing_description"),
-        occurrence,
-        (occurrence > 1).alias("is_duplicate"),
+        number.alias("occurrence"),
+        (number > 1).alias("is_duplicate"),
     )
+
+
+def content_hash() -> Column:
+    """32 hex digits that tell the content of a cleaned line."""
+    text = [F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS") if name == "InvoiceDate" else F.col(name).cast("string") for name in RAW_COLUMNS]
+    return F.md5(F.to_json(F.array(*text)))
+
+
+def mark_earlier(marked: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Lines that detect_duplicates has marked, with the copies of ``earlier`` (as there) counted in.
+
+    For lines that are no longer in groups; a hot content meets one row here,
+    and adaptive execution splits its lines.
+    """
+    marked = marked if "occurrence" in marked.columns else marked.withColumn("occurrence", F.lit(1).cast("bigint"))
+    joined = marked.withColumn("content", content_hash()).join(earlier.select("content", "earlier"), "content", "left")
+    number = F.col("occurrence") + F.coalesce("earlier", F.lit(0).cast("bigint"))
+    numbered = joined.withColumn("occurrence", number).withColumn("is_duplicate", F.col("occurrence") > 1)
+    return numbered.select(*dict.fromkeys([*marked.columns, "is_duplicate"]))

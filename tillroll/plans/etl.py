@@ -6,10 +6,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tillroll.errors import DataQualityError, EtlError, MissingColumnsError, SourceNotFoundError
-from tillroll.operators.cleaning import transform_retail
+from tillroll.operators.cleaning import standardize_columns
 from tillroll.plans.profile import intake, intake_audit, write_profile
-from tillroll.plans.publish import by_month, load_transformed
-from tillroll.plans.validation import require_columns, require_types
+from tillroll.plans.publish import load_raw
+from tillroll.plans.validation import require_columns
 from tillroll.sources.files import read_raw
 
 
@@ -47,6 +47,7 @@ def run_etl(
     multi_line: bool = False,
     profile_path: str | None = None,
     report_path: str | None = None,
+    quarantine_limit: int | None = None,
 ) -> EtlResult:
     """Read, profile, clean, check and publish one raw dataset.
 
@@ -56,7 +57,7 @@ def run_etl(
     read or held, which the audit names, and gives the profile its totals.
     ``multi_line`` allows line breaks inside quoted CSV fields, at the price of
     one task per file. Lines are validated where they are staged, in one scan, before the
-    new version is published.
+    new version is published. ``quarantine_limit`` as in load_raw.
     """
     started = time.monotonic()
     steps: dict[str, str] = {}
@@ -80,17 +81,17 @@ def run_etl(
                 steps["profile"] = f"FAILED: {error}"
 
         step, problem = "transform", "Data transformation failed"
-        transformed = transform_retail(raw, spread=by_month)
+        lines = standardize_columns(raw)
         steps[step] = "SUCCESS"
 
         step, problem = "validate", "Validation failed"
-        require_columns(transformed)
-        require_types(transformed)
+        require_columns(lines)
         steps[step] = "SUCCESS"
 
         step, problem = "load", "Load failed; the former version stays published"
         try:
-            audit = load_transformed(transformed, table, full_refresh, expected_rows=raw_rows, gathered=True)
+            dates = totals["first_date"], totals["last_date"]
+            audit = load_raw(raw, table, full_refresh, raw_rows, quarantine_limit, dates)
             audit |= intake_audit(totals)
         except DataQualityError:
             steps[step], step, problem = "SUCCESS", "verify", "Validation failed"

@@ -17,12 +17,6 @@ from tillroll.operators.quantiles import exact_quantiles
 ScanSection = tuple[dict[str, Column], Callable[[DataFrame], DataFrame]]
 
 _PRICE_SCALE = 1_000_000
-_PARSERS = {
-    "Quantity": parsing.parse_whole_number,
-    "InvoiceDate": parsing.parse_timestamp,
-    "UnitPrice": parsing.parse_price,
-    "CustomerID": parsing.parse_whole_number,
-}
 _NUMBERS = {"quantity": "Quantity", "unit_price": "UnitPrice"}
 _QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 
@@ -31,13 +25,13 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.coalesce(to_hundredths(ratio(part, whole) * 100), F.lit(0.0))
 
 
-def _parsed(raw: DataFrame, name: str) -> Column:
+def _parsed(name: str) -> Column:
     """The readable values of a raw column; the others are null."""
-    return _PARSERS[name](F.col(name), raw.schema[name].dataType)
+    return F.col(f"value_{name}")
 
 
 def _totals(raw: DataFrame, aggregates: dict[str, Column]) -> DataFrame:
-    return raw.agg(*[column.alias(name) for name, column in aggregates.items()])
+    return parsing.with_values(raw).agg(*[column.alias(name) for name, column in aggregates.items()])
 
 
 def _rows(totals: DataFrame, rows: list[Column]) -> DataFrame:
@@ -88,7 +82,7 @@ def _temporal(raw: DataFrame) -> ScanSection:
             F.timestamp_diff("DAY", "first_date", "last_date").alias("timespan_days"),
         )
 
-    moment = _parsed(raw, "InvoiceDate")
+    moment = _parsed("InvoiceDate")
     return {"first_date": F.min(moment), "last_date": F.max(moment)}, layout
 
 
@@ -110,7 +104,7 @@ def _moments(raw: DataFrame) -> ScanSection:
         )
 
     aggregates = {
-        f"{label}_{column}": function(_parsed(raw, name)).cast("double")
+        f"{label}_{column}": function(_parsed(name)).cast("double")
         for label, function in statistics.items()
         for column, name in _NUMBERS.items()
     }
@@ -119,8 +113,8 @@ def _moments(raw: DataFrame) -> ScanSection:
 
 def _anomalies(raw: DataFrame) -> ScanSection:
     cancelled = F.coalesce(F.col("InvoiceNo").cast("string").startswith("C"), F.lit(False))
-    negative = F.coalesce(_parsed(raw, "Quantity") < 0, F.lit(False))
-    price = _parsed(raw, "UnitPrice")
+    negative = F.coalesce(_parsed("Quantity") < 0, F.lit(False))
+    price = _parsed("UnitPrice")
     rules = {
         "cancelled_invoices": cancelled,
         "negative_quantity": negative,
@@ -153,13 +147,13 @@ def _unreadable(raw: DataFrame) -> ScanSection:
             totals,
             [
                 F.struct(F.lit(name).alias("column"), F.col(f"unreadable_{name}").alias("unreadable"))
-                for name in _PARSERS
+                for name in parsing.READERS
             ],
         )
 
     return {
-        f"unreadable_{name}": F.count_if(~parsing.is_blank(F.col(name)) & _parsed(raw, name).isNull())
-        for name in _PARSERS
+        f"unreadable_{name}": F.count(f"state_{name}")
+        for name in parsing.READERS
     }, layout
 
 
@@ -198,11 +192,11 @@ def profile_temporal(raw: DataFrame) -> DataFrame:
 
 def _with_quartiles(moments: DataFrame, raw: DataFrame) -> DataFrame:
     whole_numbers = {
-        "quantity": _parsed(raw, "Quantity"),
-        "unit_price": (_parsed(raw, "UnitPrice") * _PRICE_SCALE).cast("bigint"),
+        "quantity": _parsed("Quantity"),
+        "unit_price": (_parsed("UnitPrice") * _PRICE_SCALE).cast("bigint"),
     }
     pairs = [F.struct(F.lit(name).alias("name"), value.alias("value")) for name, value in whole_numbers.items()]
-    found = exact_quantiles(raw.select(F.inline(F.array(*pairs))), list(_QUARTILES.values()))
+    found = exact_quantiles(parsing.with_values(raw).select(F.inline(F.array(*pairs))), list(_QUARTILES.values()))
     label = F.coalesce(*[F.when(F.col("probability") == p, name) for name, p in _QUARTILES.items()])
     by_label = found.select(
         label.alias("statistic"),
@@ -267,17 +261,14 @@ def intake(raw: DataFrame) -> DataFrame:
     """One row, from one scan, of all that the sections but sample, duplicates and quartiles need, and of
     values that are numbers beyond their types."""
     lines = _stripped(raw)
-    beyond = {
-        "beyond_Quantity": parsing.is_beyond_whole_number(F.col("Quantity"), lines.schema["Quantity"].dataType),
-        "beyond_UnitPrice": parsing.is_beyond_price(F.col("UnitPrice"), lines.schema["UnitPrice"].dataType),
-    }
+    beyond = {f"beyond_{name}": F.col(f"state_{name}") == parsing.BEYOND for name in ("Quantity", "UnitPrice")}
     every = {name: value for scan in _SCANS.values() for name, value in scan(lines)[0].items()}
     return _totals(lines, every | {name: F.count_if(rule) for name, rule in beyond.items()})
 
 
 def intake_audit(totals: Row) -> dict[str, int]:
     """Of intake's row: the lines, and by column the values that cannot be read or held."""
-    names = [f"unreadable_{name}" for name in _PARSERS] + ["beyond_Quantity", "beyond_UnitPrice"]
+    names = [f"unreadable_{name}" for name in parsing.READERS] + ["beyond_Quantity", "beyond_UnitPrice"]
     return {"raw_rows": totals["size_rows"]} | {name: totals[name] for name in names}
 
 

@@ -1,39 +1,72 @@
 """The published fact table: immutable Parquet segments and a manifest of versions.
 
-A load writes a new segment, checks it, and only then adds one line to the
-manifest. Readers take the newest line, so a load that fails or loses its
-executors half-way leaves the former version as it was. Any file system that
-Spark can write to will do. One load at a time may run on a table.
+A load writes a new segment, checks it, and only then adds a version to the
+manifest. Readers take the newest version, so a load that fails or loses its
+executors half-way leaves the former one as it was. Any file system that
+Spark can write to will do.
+
+Several loads may run on a table at once. A version is one file, named by its
+number, that only one of them can create; a load that comes too late takes the
+next number, after looking at what the other has published: lines that it adds are
+marked against that again. Versions are created by a hard link on local disks and
+by a rename that doesn't replace on others, which HDFS does in one step; on a
+store without such a rename one load at a time may write a table.
+
+Lines that cannot be published, if a load sets them apart, stand beside the fact
+in the segment, with the reasons and the line as it was read.
 """
 
+import json
+import time
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
-from tillroll.errors import FactNotPublishedError
-from tillroll.operators.cleaning import to_fact
+from tillroll.errors import ConcurrentLoadError, DataQualityError, FactNotPublishedError
+from tillroll.operators.cleaning import classify_transactions, clean_text_fields, convert_data_types, standardize_columns, to_fact, transform_retail
+from tillroll.operators.duplicates import mark_earlier
 from tillroll.plans.validation import check_staged
-from tillroll.schema import FACT_SCHEMA
+from tillroll.schema import FACT_SCHEMA, REJECT_COLUMNS
 
 # Fixed value: the table that users' SQL names.
 _VIEW = "retail_transactions"
 
-_MANIFEST_SCHEMA = "version BIGINT, segments ARRAY<STRING>, rows BIGINT, published_at TIMESTAMP"
+_MANIFEST_SCHEMA = "version BIGINT, segments ARRAY<STRING>, rows BIGINT, quarantined BIGINT, published_at TIMESTAMP"
+
+# The two lots of a segment.
+_FACT, _QUARANTINE = "fact", "quarantine"
+_SEGMENT_SCHEMA = T.StructType(
+    [
+        *FACT_SCHEMA.fields,
+        *[T.StructField(name, T.StringType()) for name in REJECT_COLUMNS],
+        T.StructField("lot", T.StringType()),
+        T.StructField("segment", T.StringType()),
+    ]
+)
+
+#: Times that a load tries to publish while others do.
+ATTEMPTS = 10
 
 
 def _segment_path(table: str, segment: str) -> str:
     return f"{table}/segments/segment={segment}"
 
 
-def _read_segments(spark: SparkSession, table: str, segments: list[str]) -> DataFrame:
-    return (
-        spark.read.schema(FACT_SCHEMA)
+def _read_lot(spark: SparkSession, table: str, segments: list[str], lot: str) -> DataFrame:
+    whole = (
+        spark.read.schema(_SEGMENT_SCHEMA)
         .option("basePath", f"{table}/segments")
         .parquet(*[_segment_path(table, segment) for segment in segments])
-        .select(*FACT_SCHEMA.names)
     )
+    return whole.where(F.col("lot") == lot)
+
+
+def _read_segments(spark: SparkSession, table: str, segments: list[str]) -> DataFrame:
+    return _read_lot(spark, table, segments, _FACT).select(*FACT_SCHEMA.names)
 
 
 def history(spark: SparkSession, table: str) -> DataFrame:
@@ -48,7 +81,7 @@ def history(spark: SparkSession, table: str) -> DataFrame:
 
 def current_version(spark: SparkSession, table: str) -> Row:
     """The newest version of the table."""
-    newest = history(spark, table).orderBy(F.desc("version"), F.desc("published_at")).first()
+    newest = history(spark, table).where("version IS NOT NULL").orderBy(F.desc("version"), F.desc("published_at")).first()
     if newest is None:
         raise FactNotPublishedError(f"No published fact at {table}. Please run the load job first.")
     return newest
@@ -79,14 +112,59 @@ def execute_query(spark: SparkSession, table: str, query: str, params: dict | li
             former.createOrReplaceTempView(_VIEW)
 
 
+def quarantined(spark: SparkSession, table: str) -> DataFrame:
+    """Lines that loads of the newest version set apart: segment, reasons (an array of column:reason) and raw_line, JSON."""
+    lines = _read_lot(spark, table, current_version(spark, table).segments, _QUARANTINE)
+    return lines.select("segment", F.split("reasons", ",").alias("reasons"), "raw_line")
+
+
+def _path(spark: SparkSession, name: str):
+    """A Hadoop path and its file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _put_if_absent(spark: SparkSession, name: str, text: str) -> bool:
+    """Create a file with all of its text, unless there is one of its name; whether it was created."""
+    jvm = spark.sparkContext._jvm
+    target, files = _path(spark, name)
+    draft = target.suffix(f".{uuid.uuid4().hex}")
+    # Readers pass over names that begin with a dot.
+    draft = jvm.org.apache.hadoop.fs.Path(draft.getParent(), f".{draft.getName()}")
+    stream = files.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    local = files.getUri().getScheme() == "file"
+    try:
+        if local:
+            places = [jvm.java.io.File(path.toUri().getPath()).toPath() for path in (target, draft)]
+            jvm.java.nio.file.Files.createLink(*places)
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+            never = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+            context.rename(draft, target, never)
+        return True
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    finally:
+        files.delete(draft, False)
+
+
 def _stage(fact: DataFrame, table: str) -> str:
     """Write a new segment that nobody reads yet; rows are sorted by time so
     that date filters skip row groups."""
     segment = uuid.uuid4().hex
+    for name in REJECT_COLUMNS:
+        if name not in fact.columns:
+            fact = fact.withColumn(name, F.lit(None).cast("string"))
+    lot = F.when(F.col("reasons").isNull(), _FACT).otherwise(_QUARANTINE)
     (
-        fact.sortWithinPartitions("sales_month", "invoice_date")
+        fact.withColumn("lot", lot)
+        .sortWithinPartitions("lot", "sales_month", "invoice_date")
         .write.mode("errorifexists")
-        .partitionBy("sales_month")
+        .partitionBy("lot", "sales_month")
         .parquet(_segment_path(table, segment))
     )
     return segment
@@ -97,40 +175,132 @@ def by_month(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM")).hint("rebalance", F.col("sales_month")).drop("sales_month")
 
 
-def load_transformed(
-    transformed: DataFrame,
+def earlier_copies(spark: SparkSession, table: str, segments: list[str], first: datetime | None, last: datetime | None) -> DataFrame:
+    """``content`` and ``earlier``: how many copies of each line the segments hold, in the months from first to last.
+
+    A line's id says what it is and which copy, so this one column of those
+    months is all that is read; equal lines are of one month.
+    """
+    months = F.col("sales_month").between(*[F.date_format(F.lit(x).cast("timestamp_ntz"), "yyyy-MM") for x in (first, last)])
+    parts = F.split("line_id", "-")
+    ids = _read_segments(spark, table, segments).where(months).select(parts[0].alias("content"), parts[2].cast("bigint").alias("copy"))
+    return ids.groupBy("content").agg(F.max("copy").alias("earlier"))
+
+
+def _set_apart(spark: SparkSession, table: str, segment: str, most: int | None) -> int:
+    """How many lines a staged segment sets apart; raises if there are more than ``most``."""
+    lines = _read_lot(spark, table, [segment], _QUARANTINE)
+    reasons = {r["reasons"]: r["count"] for r in lines.groupBy("reasons").count().collect()}  # at most one row for each mix of reasons
+    count = sum(reasons.values())
+    if most is not None and count > most:
+        raise DataQualityError(f"{count:,} lines can't be published where {most:,} are allowed: {reasons}")
+    return count
+
+
+def _publish(
+    spark: SparkSession,
+    table: str,
+    full_refresh: bool,
+    lines: Callable[[list[str]], DataFrame],
+    expected_rows: int | None,
+    most_quarantined: int | None,
+) -> dict:
+    """Stage the lines that ``lines`` gives for the segments they are added to, check them, and add a version.
+
+    Another load's version that comes first is looked at: unless this one
+    replaces everything, its lines are staged again, marked against that version.
+    """
+    staged_for = segment = audit = None
+    for _ in range(ATTEMPTS):
+        try:
+            former = current_version(spark, table)
+        except FactNotPublishedError:
+            former = None
+        kept = [] if full_refresh or former is None else list(former.segments)
+        if segment is None or kept != staged_for:
+            segment, staged_for = _stage(to_fact(lines(kept), batch=len(kept)), table), kept
+            apart = _set_apart(spark, table, segment, most_quarantined)
+            audit = check_staged(_read_segments(spark, table, [segment]), None if expected_rows is None else expected_rows - apart)
+            audit["quarantined"] = apart
+        number = former.version + 1 if former else 1
+        version = {
+            "version": number,
+            "segments": [*kept, segment],
+            "rows": audit["total_rows"] + (former.rows if kept else 0),
+            "quarantined": apart + ((former.quarantined or 0) if kept else 0),
+            "published_at": datetime.now(timezone.utc).isoformat(),
+        }
+        if _put_if_absent(spark, f"{table}/manifest/v{number:012}.json", json.dumps(version) + "\n"):
+            return audit
+    raise ConcurrentLoadError(f"Other loads published on {table} each of the {ATTEMPTS} times that this one tried.")
+
+
+def load_raw(
+    raw: DataFrame,
     table: str,
     full_refresh: bool = True,
     expected_rows: int | None = None,
-    gathered: bool = False,
+    quarantine_limit: int | None = None,
+    dates: tuple[datetime | None, datetime | None] | None = None,
 ) -> dict:
-    """Stage, check and publish transformed lines; returns the audit row of the load.
+    """Clean, mark, stage, check and publish raw lines; returns the audit row of the load.
 
     A full refresh replaces the table's content, otherwise the lines are added
-    to it. Raises ``DataQualityError`` and publishes nothing if a check fails.
+    to it, and those that it holds already are marked as duplicates. Raises
+    ``DataQualityError`` and publishes nothing if a check fails. With a
+    ``quarantine_limit`` up to so many lines that cannot be published are set
+    apart beside the fact, in the same pass, instead of failing the load; the
+    audit's ``quarantined`` counts them. ``dates``, the first and last of the
+    lines, spares looking for them when lines are added.
+    """
+    spark, quarantine = raw.sparkSession, quarantine_limit is not None
+
+    def lines(kept):
+        if not kept:
+            return transform_retail(raw, spread=by_month, quarantine=quarantine)
+        typed = convert_data_types(clean_text_fields(standardize_columns(raw)))
+        span = dates or tuple(typed.agg(F.min("InvoiceDate"), F.max("InvoiceDate")).first())
+        return transform_retail(raw, by_month, earlier_copies(spark, table, kept, *span), quarantine)
+
+    return _publish(spark, table, full_refresh, lines, expected_rows, quarantine_limit)
+
+
+def load_transformed(transformed: DataFrame, table: str, full_refresh: bool = True, expected_rows: int | None = None) -> dict:
+    """load_raw for lines that are transformed already.
 
     Rebalancing gathers each month into few files and lets adaptive execution
     split a month that is too big for one task. It comes before the mapping to
-    the fact, so that line ids, which do not compress, are not shuffled. Lines
-    that ``by_month`` has ``gathered`` before their copies were written out are
-    not shuffled again.
+    the fact, so that line ids, which do not compress, are not shuffled.
     """
     spark = transformed.sparkSession
-    try:
-        former = current_version(spark, table)
-    except FactNotPublishedError:
-        former = None
-    kept = [] if full_refresh or former is None else former.segments
-    if not gathered:
-        dated = transformed.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM"))
-        transformed = dated.hint("rebalance", F.col("sales_month"))
-    segment = _stage(to_fact(transformed, batch=len(kept)), table)
-    audit = check_staged(_read_segments(spark, table, [segment]), expected_rows)
-    version = Row(
-        version=former.version + 1 if former else 1,
-        segments=[*kept, segment],
-        rows=audit["total_rows"] + (former.rows if kept else 0),
-        published_at=datetime.now(timezone.utc),
-    )
-    spark.createDataFrame([version], _MANIFEST_SCHEMA).write.mode("append").json(f"{table}/manifest")
-    return audit
+
+    def lines(kept):
+        marked = transformed
+        if kept:
+            span = tuple(transformed.agg(F.min("InvoiceDate"), F.max("InvoiceDate")).first())
+            marked = classify_transactions(mark_earlier(transformed, earlier_copies(spark, table, kept, *span)))
+        dated = marked.withColumn("sales_month", F.date_format("InvoiceDate", "yyyy-MM"))
+        return dated.hint("rebalance", F.col("sales_month"))
+
+    return _publish(spark, table, full_refresh, lines, expected_rows, None)
+
+
+def remove_unreferenced(spark: SparkSession, table: str, keep_versions: int = 2, least_age_seconds: float = 86_400) -> list[str]:
+    """Delete segments that none of the newest ``keep_versions`` versions names and that are old enough; returns their names.
+
+    The age spares segments that a running load has staged; no load may take
+    longer than that. Older versions stay in the history, but are no longer readable.
+    """
+    if keep_versions < 1:
+        raise ValueError("keep_versions must be 1 or more.")
+    newest = history(spark, table).where("version IS NOT NULL").orderBy(F.desc("version")).limit(keep_versions)
+    # A few versions, each with its segments.
+    used = {segment for row in newest.collect() for segment in row.segments}
+    base, files = _path(spark, f"{table}/segments")
+    removed = []
+    for status in files.listStatus(base):
+        segment = status.getPath().getName().removeprefix("segment=")
+        if segment not in used and status.getModificationTime() / 1000 <= time.time() - least_age_seconds:
+            files.delete(status.getPath(), True)
+            removed.append(segment)
+    return sorted(removed)

@@ -76,6 +76,9 @@ FACT_SCHEMA = T.StructType(
     ]
 )
 
+# Why a line is kept out of the fact, and the line as it was read.
+REJECT_COLUMNS = ["reasons", "raw_line"]
+
 # Columns that a published fact may not leave null.
 REQUIRED_FACT_COLUMNS = [
     "invoice_no",
