@@ -167,4 +167,5 @@ SQL: dict[str, str] = {
     "op2_sharding": sql.SHARDING,
     "op5_chat_formatting": sql.CHAT,
     "op11_exact_dedup": sql.EXACT,
+    "op13_conversation_repair": sql.REPAIR,
 }
