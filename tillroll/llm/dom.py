@@ -127,6 +127,8 @@ class _Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page = Page()
         self._open: list[tuple[str, int]] = []
+        #: Places in _open of each tag.
+        self._places: dict[str, list[int]] = {}
         self._never_closed = never_closed
         #: Places in _open of unseen elements, and whether they are never closed.
         self._unseen: list[tuple[int, bool]] = []
@@ -134,7 +136,11 @@ class _Reader(HTMLParser):
         self._text: list[str] = []
         self._linked = 0
         self._add("body", [])
-        self._open.append(("#root", 0))
+        self._push("#root", 0)
+
+    def _push(self, tag: str, block: int) -> None:
+        self._places.setdefault(tag, []).append(len(self._open))
+        self._open.append((tag, block))
 
     def _add(self, tag: str, attrs: list) -> int:
         page = self.page
@@ -154,9 +160,11 @@ class _Reader(HTMLParser):
         self._text, self._linked = [], 0
 
     def _pop(self, at: int) -> None:
-        if any(tag not in INLINE for tag, _ in self._open[at:]):
+        seen = self._unseen[0][0] if self._unseen else len(self._open)
+        if any(tag not in INLINE for tag, _ in self._open[at:seen]):
             self.end_piece()
         for tag, _ in self._open[at:]:
+            self._places[tag].pop()
             self._links -= tag == "a"
         while self._unseen and self._unseen[-1][0] >= at:
             self._unseen.pop()
@@ -171,23 +179,27 @@ class _Reader(HTMLParser):
             self._pop(at)
 
     def _close(self, tags, until=frozenset()) -> None:
-        for at in range(len(self._open) - 1, 0, -1):
-            if self._open[at][0] in tags:
-                self._pop(at)
-                return
-            if self._open[at][0] in until:
-                return
+        """Closes the last open element of these tags, unless one of `until` was opened after it."""
+        at = self._last(tags)
+        if at > max(0, self._last(until)):
+            self._pop(at)
+
+    def _last(self, tags) -> int:
+        return max((self._places[tag][-1] for tag in tags if self._places.get(tag)), default=-1)
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self._end_unseen(tag)
-        if tag == "br":
+        if tag == "br" and not self._unseen:
             self._text.append(" ")
-        if tag in VOID and tag != "hr":
+        if tag in VOID and (tag != "hr" or self._unseen):
             return
-        if tag in INLINE:
-            if tag == "a":
-                self._links += 1
-            self._open.append((tag, self._open[-1][1]))
+        if tag in INLINE or self._unseen:
+            # Inside an unseen element nothing but its nesting matters.
+            if tag in UNSEEN:
+                self._unseen.append((len(self._open), self.getpos() in self._never_closed))
+            if tag not in ("html", "body"):
+                self._links += tag == "a"
+                self._push(tag, self._open[-1][1])
             return
         if tag in CLOSES:
             self._close(*CLOSES[tag])
@@ -197,12 +209,12 @@ class _Reader(HTMLParser):
             return
         if tag in UNSEEN:
             self._unseen.append((len(self._open), self.getpos() in self._never_closed))
-            self._open.append((tag, self._open[-1][1]))
+            self._push(tag, self._open[-1][1])
             return
         self.end_piece()
         if tag in ("html", "body", "hr"):
             return
-        self._open.append((tag, self._add(tag, attrs)))
+        self._push(tag, self._add(tag, attrs))
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -214,8 +226,9 @@ class _Reader(HTMLParser):
             self._end_unseen("body")
             self.end_piece()
         elif tag == "br":
-            self._text.append(" ")
-        else:
+            self._text.append("" if self._unseen else " ")
+        elif not any(at > self._last({tag}) and not lost and self._open[at][0] != "head" for at, lost in self._unseen[:1]):
+            # An end tag ends no element around an unseen one that has its own end tag still to come.
             self._close({tag})
 
     def handle_data(self, data: str) -> None:

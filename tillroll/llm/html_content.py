@@ -21,8 +21,10 @@ from pyspark.sql import types as T
 from tillroll.llm.dom import FEATURES, OTHER, Page, describe, groups_of, read_page
 from tillroll.llm.labelled import smallest_hashes
 from tillroll.llm.page_samples import labelled_pages
-from tillroll.llm.storage import in_small_batches
+from tillroll.llm.shingles import sliced
 
+#: Bytes of html that are parsed together.
+PAGE_BYTES = 1 << 20
 #: Pages to learn from: drawn layouts, and at most so many of the table that mark their article, of at most so many characters.
 DRAWN_PAGES = 500
 TABLE_PAGES = 150
@@ -167,10 +169,8 @@ def extract_main_text(pages: DataFrame, model: ContentModel, html: str = "html",
     schema = T.StructType([*pages.schema.fields, T.StructField(name, T.StringType(), False)])
 
     def extract(batches):
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.slice(start, 256)
-                texts = extract_all(part.column(html).to_pylist(), model)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
+        for part in sliced(batches, html, PAGE_BYTES):
+            texts = extract_all(part.column(html).to_pylist(), model)
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return in_small_batches(pages).mapInArrow(extract, schema)
+    return pages.mapInArrow(extract, schema)
