@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import jaccard, packing, quality, queries, toxicity
+from tillroll.llm import jaccard, quality, queries, toxicity
 from tillroll.llm.storage import checkpoint_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,7 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token pieces of all documents that are left, with their places in sequences."""
-    return packing.pack_documents(docs, queries.RANKS, queries.public_tokenizers.PATTERN, queries.CAPACITY)
+    return queries.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
