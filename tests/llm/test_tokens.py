@@ -105,12 +105,13 @@ def test_plan_is_best_fit_and_gapless(seed):
 
 
 def test_documents_are_packed_whole(spark):
-    texts = ODD + ["one two " * 900, "same"] * 3
-    packed = packing.pack_documents(docs(spark, texts), queries.RANKS, public_tokenizers.PATTERN, 64, keep_ids=True)
+    special = packing.special_strings(queries.VOCABULARY)
+    (end,) = special
+    texts = ODD + ["one two " * 900, "same"] * 3 + [end, f"{end} hi", f"a {end}{end} b\n{end}", f"<|{end}|> {end.upper()}", f"x{end[:-1]} {end}y", "long" * 5_000 + " " + end]
+    packed = packing.pack_documents(docs(spark, texts), queries.RANKS, public_tokenizers.PATTERN, 64, keep_ids=True, special=special)
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset"]
     rows = packed.collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     for doc, text in enumerate(texts):
         pieces = sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.piece)
         ids = [i for r in pieces for i in r.ids]

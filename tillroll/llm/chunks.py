@@ -10,12 +10,14 @@ part met before costs one look-up.
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Iterator
 
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
-#: Parts remembered by a worker in each of two generations, about 200 bytes each.
+#: Parts remembered by a worker in each of two generations, some 400 bytes each at most, and the length of the longest.
 MOST_REMEMBERED = 300_000
+LONGEST_REMEMBERED = 40
 #: Characters of texts that are encoded together.
 SLICE_CHARS = 4_000_000
 
@@ -76,9 +78,13 @@ class RememberedEncoder:
             if bad:
                 cuts = [cuts[i] if bad.isdisjoint(cuts[i]) else cut(text) for i, text in enumerate(part)]
                 met = {x for pieces in cuts for x in pieces[1:]}
-            self._learn(met)
+            long = [x for x in met if len(x) > LONGEST_REMEMBERED]
+            self._learn(met.difference(long))
             firsts = list({pieces[0] for pieces in cuts})
             first = dict(zip(firsts, self._encode(firsts), strict=True))
             look = self._new.__getitem__
+            if long:
+                own = dict(zip(long, self._encode([" " + x for x in long]), strict=True))
+                look = ChainMap(self._new, own).__getitem__
             out.extend(first[pieces[0]] + b"".join(map(look, pieces[1:])) for pieces in cuts)
         return out

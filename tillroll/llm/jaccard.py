@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillroll.llm.graph import components
 from tillroll.llm.shingles import shingle_sets, sliced
-from tillroll.llm.storage import in_small_batches, saved
+from tillroll.llm.storage import saved
 
 #: Counts in the table of frequencies, one byte each when sent to workers.
 BUCKET_BITS = 20
@@ -209,7 +209,7 @@ def similar_documents(frame: DataFrame, key: str = "doc_id", text: str = "text",
     there is one. Repeated rows each give a row. Keys are int, bigint or string.
     Other columns are left out; an empty table gives an empty one.
     """
-    described = saved(_described(in_small_batches(frame), key, text))
+    described = saved(_described(frame, key, text))
     docs = described.where("bucket is null").select("doc_id", "set_id", "n", "parts")
     sets = saved(
         docs.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("parts").alias("parts"))

@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -24,10 +26,12 @@ from pyspark.sql.window import Window
 
 from tillroll.llm.bpe import byte_bpe, read_ranks
 from tillroll.llm.chunks import uneven
-from tillroll.llm.storage import in_small_batches, saved
+from tillroll.llm.shingles import sliced
+from tillroll.llm.storage import saved
 
-#: Parts of texts that a worker remembers, about 200 bytes each.
+#: Parts of texts that a worker remembers, none of them longer than LONGEST_REMEMBERED: some 400 bytes each at most.
 MOST_REMEMBERED = 250_000
+LONGEST_REMEMBERED = 40
 #: Longer parts are met once and go to the encoder that needs no recursion.
 LONG_PART = 1_000
 
@@ -39,7 +43,11 @@ class _Uneven(Exception):
 class _Parts(dict):
     """Ids of the parts of texts that follow a space of their own, found when first asked for."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, special: tuple[tuple[str, int], ...]):
+        self._special = {string: np.array([number], "<u4").tobytes() for string, number in special}
+        # Of several that begin at one place the longest counts.
+        longest = sorted(map(re.escape, self._special), key=len, reverse=True)
+        self._split = re.compile("(" + "|".join(longest) + ")").split if longest else None
         self._fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
         self._file = path, pattern
 
@@ -56,11 +64,17 @@ class _Parts(dict):
         if uneven(part):
             raise _Uneven
         ids = self.encode(" " + part)
-        if len(self) < MOST_REMEMBERED:
+        if len(self) < MOST_REMEMBERED and len(part) <= LONGEST_REMEMBERED:
             self[part] = ids
         return ids
 
     def ids_of(self, text: str) -> bytes:
+        """Ids of a text in which special strings have their own and part what is before from what is behind."""
+        if self._split is None:
+            return self.plain(text)
+        return b"".join(self._special.get(x) or self.plain(x) for x in self._split(text) if x)
+
+    def plain(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         try:
             if rest and uneven(first):
@@ -71,8 +85,18 @@ class _Parts(dict):
 
 
 @lru_cache(maxsize=2)
-def _parts(path: str, pattern: str) -> _Parts:
-    return _Parts(path, pattern)
+def _parts(path: str, pattern: str, special: tuple[tuple[str, int], ...]) -> _Parts:
+    return _Parts(path, pattern, special)
+
+
+def special_strings(vocabulary_path: str) -> dict[str, int]:
+    """The added tokens of a vocabulary in JSON, with their ids; those that take spaces with them or are found in normalized text are refused."""
+    with open(vocabulary_path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if token["lstrip"] or token["rstrip"] or token["single_word"]:
+            raise ValueError(f"{token['content']} isn't a plain string.")
+    return {token["content"]: token["id"] for token in added}
 
 
 def token_pieces(
@@ -84,11 +108,12 @@ def token_pieces(
     text: str = "text",
     last_id: int = 0,
     keep_ids: bool = False,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
     """Per piece: key, piece (from 0), start, length, ids_crc32, and ids if they are to be kept.
 
-    A document is the ids of its text, special strings being ordinary text, then
-    last_id; a null text counts as empty, so every row has one piece at least.
+    A document is the ids of its text, then last_id; strings in `special` have
+    the ids given there wherever they stand in a text. A null text counts as empty, so every row has one piece at least.
     ids_crc32 is of the ids as little-endian unsigned 32-bit integers. Repeated
     rows each give their pieces; other columns are left out.
     """
@@ -103,10 +128,11 @@ def token_pieces(
     if keep_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType(), False), False))
     schema = T.StructType(fields)
+    strings = tuple(sorted((special or {}).items()))
 
     def encode(batches):
-        parts, end = _parts(ranks_path, pattern), np.array([last_id], "<u4").tobytes()
-        for batch in batches:
+        parts, end = _parts(ranks_path, pattern, strings), np.array([last_id], "<u4").tobytes()
+        for batch in sliced(batches, text):
             rows, pieces, starts, lengths, sums, kept = [], [], [], [], [], []
             for row, value in enumerate(batch.column(text)):
                 ids = parts.ids_of(value.as_py() or "") + end
@@ -134,7 +160,7 @@ def token_pieces(
                 columns.append(pa.array(kept, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return in_small_batches(own).mapInArrow(encode, schema)
+    return own.mapInArrow(encode, schema)
 
 
 def plan_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -233,11 +259,12 @@ def pack_documents(
     key: str = "doc_id",
     text: str = "text",
     keep_ids: bool = False,
+    special: dict[str, int] | None = None,
 ) -> DataFrame:
     """The pieces of all documents with their places; see token_pieces and pack_pieces.
 
     Texts are encoded once: the pieces are written to the checkpoint folder and
     read for the histogram and again for the places.
     """
-    pieces = saved(token_pieces(frame, ranks_path, pattern, capacity, key, text, keep_ids=keep_ids))
+    pieces = saved(token_pieces(frame, ranks_path, pattern, capacity, key, text, keep_ids=keep_ids, special=special))
     return pack_pieces(pieces, capacity, key)

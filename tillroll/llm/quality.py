@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tillroll.llm.boosting import Forest, fit
 from tillroll.llm.labelled import held_out, training_texts
-from tillroll.llm.storage import in_small_batches
+from tillroll.llm.shingles import sliced
 
 #: Labelled documents to learn from, at most.
 TRAINING_ROWS = 20_000
@@ -82,11 +82,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     """
 
     def describe(batches):
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             found = _rows_of(batch.column("text"))
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.list_(pa.float64())), batch.column("label")], names=["x", "label"])
 
-    texts = in_small_batches(training_texts(docs, labels, label, rows, key, text))
+    texts = training_texts(docs, labels, label, rows, key, text)
     sample = texts.mapInArrow(describe, "x array<double>, label int").toArrow()
     if not sample.num_rows:
         return fit(np.zeros((0, FEATURES)), np.zeros(0))
@@ -108,11 +108,11 @@ def score(frame: DataFrame, forest: Forest, text: str = "text", name: str = "sco
     schema = T.StructType([*frame.schema.fields, T.StructField(name, T.DoubleType(), False)])
 
     def add(batches):
-        for batch in batches:
+        for batch in sliced(batches, text):
             found = forest.scores(_rows_of(batch.column(text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=schema.names)
 
-    return in_small_batches(frame).mapInArrow(add, schema)
+    return frame.mapInArrow(add, schema)
 
 
 def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

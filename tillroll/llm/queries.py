@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: The vocabulary of byte_bpe_50k.json as ranks: the same ids.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY = 2048
 SHARDS = [f"shard-{i:02}" for i in range(32)]
 
@@ -65,7 +66,11 @@ def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN, CAPACITY)
+    return pack(table(spark, folder, "documents"))
+
+
+def pack(documents: DataFrame) -> DataFrame:
+    return packing.pack_documents(documents, RANKS, public_tokenizers.PATTERN, CAPACITY, special=packing.special_strings(VOCABULARY))
 
 
 def op11_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:

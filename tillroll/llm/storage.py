@@ -1,20 +1,16 @@
-"""Intermediate results that outlive lost executors, and how texts are handed to Python."""
+"""Intermediate results that outlive lost executors."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; where none is set, as in tests, a new one is set."""
+    """The shared folder of spark.checkpoint.dir or, where none is set, one in the warehouse: every executor reaches either."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tillroll-checkpoints"
 
 
 def saved(frame: DataFrame) -> DataFrame:
@@ -27,16 +23,3 @@ def saved(frame: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(spark).rstrip('/')}/tillroll-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
-
-
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-#: Rows of text that go to a Python worker at once, where the session says nothing else: some megabytes.
-TEXT_ROWS = 1_000
-
-
-def in_small_batches(frame: DataFrame) -> DataFrame:
-    """The frame, with the session's Arrow batches set to TEXT_ROWS rows unless it has a setting of its own."""
-    spark = frame.sparkSession
-    if spark.conf.get(_BATCH, None) is None:
-        spark.conf.set(_BATCH, str(TEXT_ROWS))
-    return frame

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.labelled import held_out, training_texts
-from tillroll.llm.storage import in_small_batches, saved
+from tillroll.llm.shingles import sliced
+from tillroll.llm.storage import saved
 
 #: Labelled documents to learn from, at most, and the tasks they are dealt to.
 TRAINING_ROWS = 10_000
@@ -121,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     take part, 2**BUCKET_BITS at most, and for each training text those it holds.
     Without texts of both labels the score is the smoothed share of label 1.
     """
-    sample = saved(in_small_batches(training_texts(docs, labels, label, rows, key, text)).repartition(TRAINING_TASKS))
+    sample = saved(training_texts(docs, labels, label, rows, key, text).repartition(TRAINING_TASKS))
     of_label = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     others, toxic = of_label.get(0, 0), of_label.get(1, 0)
     share = (toxic + 0.5) / (others + toxic + 1.0)
@@ -132,7 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     def count(batches):
         seen = np.zeros((2, 1 << BUCKET_BITS), np.int32)
         scratch = np.empty(1 << BUCKET_BITS, np.int32)
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             for value, kind in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 seen[kind, _distinct(ngram_buckets(value or ""), scratch)] += 1
         at = np.flatnonzero(seen.any(axis=0))
@@ -157,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     def held(batches):
         number_of = np.frombuffer(packed, np.int32)
         scratch = np.empty(1 << BUCKET_BITS, np.int32)
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             found = []
             for value in batch.column("text").to_pylist():
                 own = number_of[_distinct(ngram_buckets(value or ""), scratch)]
@@ -193,11 +194,11 @@ def score(frame: DataFrame, model: ToxicityModel, text: str = "text", name: str
         weights = np.zeros(size)
         weights[at] = own
         local = ToxicityModel(weights, start)
-        for batch in batches:
+        for batch in sliced(batches, text):
             found = [local.score(value or "") for value in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=schema.names)
 
-    return in_small_batches(frame).mapInArrow(add, schema)
+    return frame.mapInArrow(add, schema)
 
 
 def assess(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
