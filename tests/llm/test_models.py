@@ -96,6 +96,27 @@ def test_ngrams_are_the_same_in_any_windows(monkeypatch):
     assert set(toxicity._distinct(toxicity.ngram_buckets(text), scratch)) == set(whole)
 
 
+def test_toxicity_scores_by_the_formula():
+    rng = np.random.default_rng(1)
+    chosen = {g: float(rng.normal()) for g in (" ba", "bad", "ad ", " bad", " bad b", "ood", "good", "xyz")}
+    bucket = {}
+    for g in chosen:
+        codes = np.frombuffer(g.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        mixed = sum((int(c) * int(f) for c, f in zip(codes, toxicity._FACTORS)), 0) % 2**64
+        last = int(toxicity._FACTORS[len(g) - 1])
+        bucket[g] = ((mixed ^ (mixed >> 29)) * last % 2**64) >> (64 - toxicity.BUCKET_BITS)
+    order = sorted(chosen, key=bucket.get)
+    ratios, weights = np.array([chosen[g] for g in order]), rng.normal(size=len(order))
+    model = toxicity.ToxicityModel(np.array([bucket[g] for g in order]), ratios, weights, -0.3)
+    for text in ("Bad bad  BAD book", "good", "", "nothing of the kind", "bad xyz " * 9):
+        padded = f" {' '.join(text.lower().split())} "
+        times = np.array([sum(padded.startswith(g, i) for i in range(len(padded))) for g in order])
+        values = ratios * np.log(1 + times)
+        length = np.sqrt((values**2).sum())
+        margin = -0.3 + (10 * float(values @ weights) / length if length and text else 0)
+        assert model.score(text) == pytest.approx(1 / (1 + np.exp(-margin)), rel=1e-9)
+
+
 def test_trees_learn_and_flat_traversal_follows_them():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 3))

@@ -18,9 +18,10 @@ def components(links: DataFrame) -> DataFrame:
     Links may repeat, point either way or join a node to itself. Alternating
     steps hang every node's larger neighbours, then its smaller ones, on the
     smallest; each keeps what is connected, and at the end every node hangs on
-    the smallest of its component. Neighbours are never brought together in one
-    task: steps are minima and joins. Each round is written as a table to the
-    checkpoint folder.
+    the smallest of its component. Minima are combined before they move; the joins
+    bring a node's links to one row, so that a hub's links meet in one task unless
+    adaptive execution splits it, but are never gathered in memory. Each round is
+    written as a table to the checkpoint folder.
     """
     nodes = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = saved(nodes)

@@ -1,9 +1,10 @@
 """Toxicity of documents: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are its distinct n-grams, hashed into buckets. Each feature is
-scaled by r, the log ratio of its smoothed rates among toxic and other training
-texts; a logistic regression over the scaled features gives the weights. What is
-kept for scoring is one number for each bucket, weight times r.
+A text's features are its n-grams, hashed into buckets. The value of a feature is
+log(1 + how often the text holds it) times r, the log ratio of the feature's
+smoothed rates among toxic and other training texts. A text's values are scaled
+to the length LENGTH, so that a long text is no surer than a short one; a
+logistic regression over them gives the weights.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ BUCKET_BITS = 20
 #: A feature takes part if so many training texts hold it and its log-count ratio is so far from 0.
 LEAST_TEXTS = 5
 LEAST_RATIO = 1.5
+#: Length of a text's vector of values.
+LENGTH = 10.0
 #: Characters hashed at once, so that long texts need little memory.
 WINDOW = 1 << 18
 
@@ -66,19 +69,35 @@ def _distinct(buckets: Iterator[np.ndarray], scratch: np.ndarray) -> np.ndarray:
     return kept
 
 
+def _values(buckets: Iterator[np.ndarray], number: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a text and their values; number has a feature for each bucket, or -1."""
+    held = [number[window] for window in buckets]
+    found, times = np.unique(np.concatenate([x[x >= 0] for x in held]), return_counts=True)
+    values = ratios[found] * np.log1p(times)
+    return found, values * (LENGTH / max(np.sqrt((values**2).sum()), 1e-300))
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
-    """weights: weight times ratio for each bucket; empty if nothing could be learned."""
+    """Buckets that take part, with the ratio and the weight of each; empty if nothing could be learned."""
 
+    buckets: np.ndarray
+    ratios: np.ndarray
     weights: np.ndarray
     start: float
 
-    def score(self, text: str) -> float:
-        """Probability that the text is toxic."""
+    def numbers(self) -> np.ndarray:
+        """For every bucket which feature it is, or -1."""
+        number = np.full(1 << BUCKET_BITS, -1, np.int32)
+        number[self.buckets] = np.arange(len(self.buckets))
+        return number
+
+    def score(self, text: str, number: np.ndarray | None = None) -> float:
+        """Probability that the text is toxic; number: what numbers() gives, for many texts."""
         margin = self.start
         if text and len(self.weights):
-            weighty = [np.unique(window[self.weights[window] != 0]) for window in ngram_buckets(text)]
-            margin += float(self.weights[np.unique(np.concatenate(weighty))].sum())
+            found, values = _values(ngram_buckets(text), self.numbers() if number is None else number, self.ratios)
+            margin += float(values @ self.weights[found])
         return float(1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500))))
 
 
@@ -128,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     share = (toxic + 0.5) / (others + toxic + 1.0)
     start = float(np.log(share / (1 - share)))
     if not others or not toxic:
-        return ToxicityModel(np.zeros(0), start)
+        return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), start)
 
     def count(batches):
         seen = np.zeros((2, 1 << BUCKET_BITS), np.int32)
@@ -151,31 +170,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
         .toArrow()
     )
     buckets, ratios = picked["bucket"].to_numpy(), picked["ratio"].to_numpy()
-    number = np.full(1 << BUCKET_BITS, -1, np.int32)
-    number[buckets] = np.arange(len(buckets))
-    packed = number.tobytes()
+    unfitted = ToxicityModel(buckets, ratios, np.zeros(len(buckets)), start)
 
     def held(batches):
-        number_of = np.frombuffer(packed, np.int32)
-        scratch = np.empty(1 << BUCKET_BITS, np.int32)
+        number = unfitted.numbers()
         for batch in sliced(batches, "text"):
-            found = []
-            for value in batch.column("text").to_pylist():
-                own = number_of[_distinct(ngram_buckets(value or ""), scratch)]
-                found.append(np.sort(own[own >= 0]))
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("label")], names=["features", "label"])
-
-    texts = sample.mapInArrow(held, "features array<int>, label int").toArrow()
-    features = texts["features"].to_pylist()
+            own = [_values(ngram_buckets(value or ""), number, ratios) for value in batch.column("text").to_pylist()]
+            columns = [pa.array([x[0] for x in own], pa.list_(pa.int32())), pa.array([x[1] for x in own], pa.list_(pa.float64())), batch.column("label")]
+            yield pa.RecordBatch.from_arrays(columns, names=["features", "values", "label"])
+
+    texts = sample.mapInArrow(held, "features array<int>, values array<double>, label int").toArrow()
+    features, values = texts["features"].to_pylist(), texts["values"].to_pylist()
     y = texts["label"].to_numpy().astype(float)
     # The order in which rows arrive must not matter.
-    order = sorted(range(len(y)), key=lambda i: (y[i], features[i]))
+    order = sorted(range(len(y)), key=lambda i: (y[i], features[i], values[i]))
     columns = np.array([c for i in order for c in features[i]], np.int64)
     own_row = np.repeat(np.arange(len(y)), [len(features[i]) for i in order])
-    weights, intercept = fit_logistic(own_row, columns, ratios[columns], y[order], len(buckets))
-    by_bucket = np.zeros(1 << BUCKET_BITS)
-    by_bucket[buckets] = weights * ratios
-    return ToxicityModel(by_bucket, intercept)
+    weights, intercept = fit_logistic(own_row, columns, np.array([v for i in order for v in values[i]]), y[order], len(buckets))
+    return ToxicityModel(buckets, ratios, weights, intercept)
 
 
 def score(frame: DataFrame, model: ToxicityModel, text: str = "text", name: str = "score") -> DataFrame:
@@ -187,15 +199,11 @@ def score(frame: DataFrame, model: ToxicityModel, text: str = "text", name: str
     if name.lower() in {c.lower() for c in frame.columns}:
         raise ValueError(f"The frame already has a column {name}.")
     schema = T.StructType([*frame.schema.fields, T.StructField(name, T.DoubleType(), False)])
-    at = np.flatnonzero(model.weights).astype(np.int32)
-    own, start, size = model.weights[at], model.start, len(model.weights)
 
     def add(batches):
-        weights = np.zeros(size)
-        weights[at] = own
-        local = ToxicityModel(weights, start)
+        number = model.numbers()
         for batch in sliced(batches, text):
-            found = [local.score(value or "") for value in batch.column(text).to_pylist()]
+            found = [model.score(value or "", number) for value in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=schema.names)
 
     return frame.mapInArrow(add, schema)
