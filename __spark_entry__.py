@@ -178,6 +178,16 @@ def _append_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return _in_work_folder(spark, work)
 
 
+def _search_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily sales of the products that a search finds in the published table's dictionary of products."""
+
+    def work(table: str) -> DataFrame:
+        publish.load_raw(retail_lines(spark, folder), table)
+        return sales.daily_sales(publish.search_fact(spark, table, SEARCH_YEAR))
+
+    return _in_work_folder(spark, work)
+
+
 def _quarantine_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Load the untidy lines and set apart what can't be published: lines by fate, published or why not, and revenue."""
 
@@ -310,6 +320,7 @@ def retail_queries() -> dict[str, Query]:
         "validation_summary": _on_text(_validation_summary),
         "append_roundtrip": _append_roundtrip,
         "append_duplicates": _append_duplicates,
+        "search_published": _search_published,
         "quarantine_roundtrip": _quarantine_roundtrip,
         "written_report": _written_report,
         "user_sql": _user_sql,

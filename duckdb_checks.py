@@ -639,6 +639,9 @@ CHECKS = {
         """SELECT sales_month, 2 * COUNT(*) AS lines, 2 * COUNT(*) AS line_ids,
         CAST(2 * SUM(line_revenue) AS DOUBLE) AS revenue FROM fact GROUP BY sales_month"""
     ),
+    "search_published": _with(
+        _daily(f"{DATES} AND (stock_code ILIKE '%LD_g%r%' OR description ILIKE '%LD_g%r%')")
+    ),
     "append_duplicates": _with(
         """SELECT sales_month, transaction_category, COUNT(*) AS lines, CAST(SUM(line_revenue) AS DOUBLE) AS revenue
         FROM (SELECT sales_month, transaction_category, line_revenue FROM fact

@@ -10,7 +10,7 @@ from tillroll.operators.cleaning import transform_retail
 from tillroll.plans import anomalies, countries, customers, products, publish, reconciliation, sales
 
 FOLDER = "/root/testdata/sf0.001"
-EAGER = ("publish_roundtrip", "append_roundtrip", "append_duplicates", "quarantine_roundtrip", "written_report", "user_sql", "load_job")
+EAGER = ("publish_roundtrip", "append_roundtrip", "append_duplicates", "search_published", "quarantine_roundtrip", "written_report", "user_sql", "load_job")
 LAZY = [name for name in entry.retail_queries() if name not in EAGER]
 
 

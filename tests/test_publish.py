@@ -189,6 +189,19 @@ def test_all_lines_set_apart(spark, table):
     assert audit["total_rows"] == publish.read_fact(spark, table).count() == 0 and publish.quarantined(spark, table).count() == 1
 
 
+@pytest.mark.parametrize("search", ["LANT", "lantern", "851_3a", "%", "nothing", " ", None])
+def test_a_search_in_the_dictionary_finds_what_a_search_in_the_lines_does(spark, table, search):
+    publish.load_raw(raw_frame(spark, LOADED), table)
+    publish.load_raw(raw_frame(spark, [line("x", description=None), line("y", description="Lantern, red")]), table, full_refresh=False)
+    where = ReportFilter("2010-12-01", "2011-12-31", search_query=search)
+    found, fact = publish.search_fact(spark, table, where), publish.read_fact(spark, table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # The lines, which are scanned first, aren't searched.
+    assert "lower(" not in plan.split("FileScan")[0] and plan.count("invoice_no#") and plan.count("FileScan") <= 2
+    assert found.columns == fact.columns
+    assert sorted(r.line_id for r in found.collect()) == sorted(r.line_id for r in fact.where(where.predicate()).collect())
+
+
 def test_old_segments_go(spark, table):
     for _ in range(3):
         publish.load_raw(raw_frame(spark, LOADED), table)
@@ -198,6 +211,7 @@ def test_old_segments_go(spark, table):
     assert publish.remove_unreferenced(spark, table, 2, 0) == sorted(x for s in segments for x in s)
     assert publish.read_fact(spark, table).count() == publish.current_version(spark, table).rows == 10
     assert publish.remove_unreferenced(spark, table, 1, 0) == []
+    assert {p.name for p in (Path(table) / "products").iterdir()} == {p.name for p in (Path(table) / "segments").iterdir()}
     with pytest.raises(ValueError):
         publish.remove_unreferenced(spark, table, 0)
 

@@ -1,6 +1,6 @@
 """Row predicates that reports take as parameters."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import reduce
 from operator import and_
@@ -42,11 +42,22 @@ class ReportFilter:
             ]
         if self.country and self.country != ALL_COUNTRIES:
             conditions.append(F.col("country") == self.country)
-        if self.search_query and self.search_query.strip():
-            escaped = self.search_query.strip().replace("\\", "\\\\")
-            pattern = f"%{escaped}%"
-            conditions.append(F.col("stock_code").ilike(pattern) | F.col("description").ilike(pattern))
-        return reduce(and_, conditions)
+        return reduce(and_, [*conditions, *self._search()])
+
+    def _search(self) -> list[Column]:
+        if not self.search_query or not self.search_query.strip():
+            return []
+        escaped = self.search_query.strip().replace("\\", "\\\\")
+        pattern = f"%{escaped}%"
+        return [F.col("stock_code").ilike(pattern) | F.col("description").ilike(pattern)]
+
+    def search_predicate(self) -> Column | None:
+        """The condition on stock code and description alone; None without a search text."""
+        return next(iter(self._search()), None)
+
+    def without_search(self) -> "ReportFilter":
+        """All conditions but the search."""
+        return replace(self, search_query=None)
 
 
 NO_FILTER = ReportFilter()

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from tillroll.errors import ConcurrentLoadError, DataQualityError, FactNotPublishedError
 from tillroll.operators.cleaning import classify_transactions, clean_text_fields, convert_data_types, standardize_columns, to_fact, transform_retail
 from tillroll.operators.duplicates import mark_earlier
+from tillroll.operators.filters import ReportFilter
 from tillroll.plans.validation import check_staged
 from tillroll.schema import FACT_SCHEMA, REJECT_COLUMNS
 
@@ -56,6 +57,10 @@ def _segment_path(table: str, segment: str) -> str:
     return f"{table}/segments/segment={segment}"
 
 
+def _products_path(table: str, segment: str) -> str:
+    return f"{table}/products/segment={segment}"
+
+
 def _read_lot(spark: SparkSession, table: str, segments: list[str], lot: str) -> DataFrame:
     whole = (
         spark.read.schema(_SEGMENT_SCHEMA)
@@ -118,6 +123,28 @@ def quarantined(spark: SparkSession, table: str) -> DataFrame:
     return lines.select("segment", F.split("reasons", ",").alias("reasons"), "raw_line")
 
 
+def _write_products(spark: SparkSession, table: str, segment: str) -> None:
+    """Beside a segment, the distinct pairs of stock code and description that it holds."""
+    pairs = _read_segments(spark, table, [segment]).select("stock_code", "description").distinct()
+    pairs.write.parquet(_products_path(table, segment))
+
+
+def search_fact(spark: SparkSession, table: str, where: ReportFilter) -> DataFrame:
+    """The lines of the published fact that a filter lets through.
+
+    A search text is looked for in the table's product pairs, which are as many
+    as its products have names and not as many as its lines; lines are then those
+    whose pair was found.
+    """
+    version = current_version(spark, table)
+    lines = _read_segments(spark, table, version.segments).where(where.without_search().predicate())
+    wanted = where.search_predicate()
+    if wanted is None:
+        return lines
+    pairs = spark.read.schema("stock_code STRING, description STRING").parquet(*[_products_path(table, x) for x in version.segments])
+    return lines.join(pairs.where(wanted).distinct(), ["stock_code", "description"], "left_semi").select(*lines.columns)
+
+
 def _path(spark: SparkSession, name: str):
     """A Hadoop path and its file system."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
@@ -222,6 +249,7 @@ def _publish(
             apart = _set_apart(spark, table, segment, most_quarantined)
             audit = check_staged(_read_segments(spark, table, [segment]), None if expected_rows is None else expected_rows - apart)
             audit["quarantined"] = apart
+            _write_products(spark, table, segment)
         number = former.version + 1 if former else 1
         version = {
             "version": number,
@@ -301,6 +329,7 @@ def remove_unreferenced(spark: SparkSession, table: str, keep_versions: int = 2,
     for status in files.listStatus(base):
         segment = status.getPath().getName().removeprefix("segment=")
         if segment not in used and status.getModificationTime() / 1000 <= time.time() - least_age_seconds:
+            files.delete(_path(spark, _products_path(table, segment))[0], True)
             files.delete(status.getPath(), True)
             removed.append(segment)
     return sorted(removed)
