@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered():
     names = {name.split("_")[0] for name in entry.queries() if name.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_stages_take_effect(spark):
