@@ -8,6 +8,7 @@ from samples import EDGE_CASES, NINE_LINES, TEXT_SCHEMA, dicts, fact_frame, line
 from pyspark.sql import functions as F
 
 from tillroll.errors import MissingColumnsError
+from tillroll.functions.parsing import BEYOND, UNREADABLE, with_values
 from tillroll.operators.cleaning import (
     calculate_line_revenue,
     classify_transactions,
@@ -247,3 +248,48 @@ def test_line_ids_are_unique_and_do_not_depend_on_partitioning(spark):
 
 def test_empty_input(spark):
     assert dicts(fact_frame(spark, [])) == []
+
+
+NUMBERS = {
+    "1e2": (100, "100", None, None), "5.": (5, "5", None, None), ".5": (0, "0.5", None, None), "+7": (7, "7", None, None),
+    "-3.9": (-3, "-3.9", None, None), "1d": (None, None, UNREADABLE, UNREADABLE), "0x1p3": (None, None, UNREADABLE, UNREADABLE),
+    ".": (None, None, UNREADABLE, UNREADABLE), "": (None, None, None, None), " \t": (None, None, None, None),
+    "1.2.3": (None, None, UNREADABLE, UNREADABLE), "NaN": (None, None, UNREADABLE, UNREADABLE), "e5": (None, None, UNREADABLE, UNREADABLE),
+    "9" * 30: (None, None, BEYOND, BEYOND), "9223372036854775807": (2**63 - 1, None, None, BEYOND), "9223372036854775808": (None, None, BEYOND, BEYOND),
+    "1e-9": (0, None, None, BEYOND), "0e-9": (0, "0", None, None), "1e400": (None, None, UNREADABLE, UNREADABLE), None: (None, None, None, None),
+}
+
+
+def test_values_and_states(spark):
+    rows = [(str(i), "S", "d", t, "2011-01-01", t, t, "UK") for i, t in enumerate(NUMBERS)]
+    found = {int(r.InvoiceNo): r for r in with_values(raw_frame(spark, rows, TEXT_SCHEMA)).collect()}
+    for i, (text, (whole, price, whole_state, price_state)) in enumerate(NUMBERS.items()):
+        row = found[i]
+        # A whole number that only DOUBLE can hold is read as the nearest of its type.
+        if text == "9223372036854775808":
+            assert row.state_UnitPrice == BEYOND
+            continue
+        assert (row.value_Quantity, row.state_Quantity) == (whole, whole_state) == (row.value_CustomerID, row.state_CustomerID), text
+        assert (row.value_UnitPrice, row.state_UnitPrice) == (None if price is None else Decimal(price), price_state), text
+
+
+def test_dates_in_every_notation_have_no_state(spark):
+    texts = ["2010-12-01 08:26:00", "12/1/2010 8:26", "2011/01/05", "5-Jan-2011", "05 January 2011 8:26", "2011-13-01", "soon", "", None]
+    rows = [(str(i), "S", "d", "1", t, "1", "1", "UK") for i, t in enumerate(texts)]
+    found = {int(r.InvoiceNo): r for r in with_values(raw_frame(spark, rows, TEXT_SCHEMA)).collect()}
+    assert [found[i].value_InvoiceDate is not None for i in range(9)] == [True] * 5 + [False] * 4
+    assert [found[i].state_InvoiceDate for i in range(9)] == [None] * 5 + [UNREADABLE] * 2 + [None] * 2
+
+
+def test_texts_are_searched_once_and_conditions_stay_above_the_reading(spark):
+    lines = raw_frame(spark, [tuple(None if x is None else str(x) for x in line())], TEXT_SCHEMA)
+    wrong = transform_retail(lines).where(F.abs(F.col("LineRevenue") - F.col("Quantity") * F.col("UnitPrice")) > 1)
+    plan = wrong._jdf.queryExecution().optimizedPlan().toString()
+    # Three numbers and whole numbers among two of them; one date, and the other notations.
+    assert plan.count("RLIKE") <= 9
+
+
+def test_revenue_is_rounded_to_four_places(spark):
+    rows = [tuple(map(str, line("1", quantity=3, price=0.00005)))[:6] + (None, "UK"), tuple(map(str, line("2", quantity=-1, price=0.00005)))[:6] + (None, "UK")]
+    found = {r.InvoiceNo: str(r.LineRevenue) for r in transform_retail(raw_frame(spark, rows, TEXT_SCHEMA)).collect()}
+    assert found == {"1": "0.000200", "2": "-0.000100"}
