@@ -7,8 +7,10 @@ length, by the place of the shared shingle, and by a bound on what the rest can
 share, counted in parts of the shingle space (the suffix filter). What is left is
 verified once on the whole sets.
 
-How rare a shingle is comes from a fixed-size table of counts. Any order gives
-the right result; the table sees all documents and sets the frequent apart.
+How rare a shingle is comes from a table of counts of fixed size, to which every
+class adds all its shingles. A shingle counts as frequent by what its bucket has
+above the usual bucket, which fills as the input grows. Any order gives the
+right result; this one sets the frequent apart.
 
 A first round compares each class only with the one in which the shared shingle
 comes first: the least altered of a group of near copies. What it links is one
@@ -20,7 +22,8 @@ link between components is missed.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +33,12 @@ from tillroll.llm.graph import components
 from tillroll.llm.shingles import shingle_sets, sliced
 from tillroll.llm.storage import saved
 
-#: Counts in the table of frequencies, one byte each when sent to workers.
+#: Counts in the table of frequencies, one byte each when sent to workers, and in each block it is added up in.
 BUCKET_BITS = 20
+BLOCK_BITS = 14
 #: Parts of the shingle space in which the suffix filter counts.
 PARTS = 64
-#: Shingles counted 2**HOT times or more are dealt out by class as well.
+#: Shingles counted 2**HOT times or more above the usual are dealt out by class as well.
 HOT = 11
 #: Bits of the set of classes to be verified, as sent to workers.
 WANTED_BITS = 23
@@ -45,8 +49,29 @@ def _set_id(hashes: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in numbers of the least width, most often a byte."""
+    return zlib.compress(counts.astype(np.min_scalar_type(int(counts.max()))).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    counts = zlib.decompress(packed)
+    return np.frombuffer(counts, f"u{len(counts) >> BLOCK_BITS}").astype(np.int64)
+
+
+def _summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each block of counts, however many came."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            sums[block] = sums.get(block, 0) + _unpacked(packed.as_py())
+    if sums:
+        columns = [pa.array(list(sums), pa.int32()), pa.array([_packed(x) for x in sums.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "counts"])
+
+
 def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
-    """A row for each document (key, set_id, n, parts), and rows (bucket, seen) of shingles that recur nearby."""
+    """A row for each document (key, set_id, n, parts), and rows (block, counts): how many classes hold a bucket's shingles."""
     own = frame.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = own.schema["doc_id"].dataType.simpleString()
 
@@ -69,49 +94,51 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
                     met.add(ids[-1])
                     new.append(hashes)
             if new:
-                shingles, count = np.unique(np.concatenate(new), return_counts=True)
-                again = count > 1
-                np.add.at(seen, shingles[again] & np.uint64((1 << BUCKET_BITS) - 1), count[again])
-            none = pa.nulls(len(ids), pa.int32())
+                buckets = np.concatenate(new) & np.uint64((1 << BUCKET_BITS) - 1)
+                seen += np.bincount(buckets.view(np.int64), minlength=len(seen))
             columns = [
                 batch.column("doc_id"),
                 pa.array(ids, pa.int64()),
                 pa.array(sizes, pa.int64()),
                 pa.array(parts, pa.list_(pa.int16())),
-                none,
-                none.cast(pa.int64()),
+                pa.nulls(len(ids), pa.int32()),
+                pa.nulls(len(ids), pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-        at = np.flatnonzero(seen)
-        if len(at):
-            none = pa.nulls(len(at))
-            columns = [none.cast(doc_type) for doc_type in (pa.int64(), pa.int64(), pa.list_(pa.int16()))]
-            first = pa.nulls(len(at), arrow_type)
-            yield pa.RecordBatch.from_arrays(
-                [first, *columns, pa.array(at.astype(np.int32)), pa.array(seen[at])], names=names
-            )
-
-    names = ["doc_id", "set_id", "n", "parts", "bucket", "seen"]
+        blocks = seen.reshape(-1, 1 << BLOCK_BITS)
+        held = np.flatnonzero(blocks.any(axis=1))
+        if len(held):
+            columns = [pa.nulls(len(held), t) for t in (arrow_type, pa.int64(), pa.int64(), pa.list_(pa.int16()))]
+            counts = pa.array([_packed(blocks[k]) for k in held], pa.binary())
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(held.astype(np.int32)), counts], names=names)
+
+    names = ["doc_id", "set_id", "n", "parts", "block", "counts"]
     arrow_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     if kind not in ("string", "int", "bigint"):
         raise ValueError(f"Keys must be string, int or bigint, not {kind}.")
-    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts array<smallint>, bucket int, seen long")
+    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts array<smallint>, block int, counts binary")
 
 
 def _frequencies(described: DataFrame) -> bytes:
-    """For each bucket the binary logarithm of how often its shingles were seen; 2**BUCKET_BITS bytes."""
-    sums = described.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen"))
-    # At most 2**BUCKET_BITS rows of two numbers.
-    rows = sums.select("bucket", F.floor(F.log2("seen")).cast("int").alias("level")).toArrow()
-    table = np.zeros(1 << BUCKET_BITS, np.uint8)
-    table[rows["bucket"].to_numpy()] = rows["level"].to_numpy()
-    return table.tobytes()
+    """For each bucket the binary logarithm of what it has above the usual bucket; 2**BUCKET_BITS bytes."""
+    blocks = described.where("block is not null").select("block", "counts")
+    # Each task adds up its own blocks, then one task all of a block: 2**(BUCKET_BITS - BLOCK_BITS) rows.
+    near = blocks.mapInArrow(_summed, blocks.schema)
+    rows = near.repartition("block").mapInArrow(_summed, blocks.schema).toArrow()
+    seen = np.zeros(1 << BUCKET_BITS, np.int64)
+    for block, packed in zip(rows["block"].to_pylist(), rows["counts"].to_pylist(), strict=True):
+        seen[block << BLOCK_BITS : (block + 1) << BLOCK_BITS] = _unpacked(packed)
+    # Shingles that share a bucket by chance fill it to the middle, give or take a few of its roots.
+    usual = np.median(seen)
+    above = np.maximum(seen - usual - 4 * np.sqrt(usual), 1)
+    return np.floor(np.log2(above)).astype(np.uint8).tobytes()
 
 
 def _prefixes(frame: DataFrame, text: str, frequencies: bytes, percent: int) -> DataFrame:
-    """Rows (part, shingle, set_id, n, at) of each set's first shingles, rarest first; the sets of a partition once.
+    """Rows (part, set_id, place) of each set's first shingles, rarest first; the sets of a partition once.
 
-    part is the shingle, or for a frequent one the shingle and some bits of the set.
+    part is the shingle, for a frequent one with some bits of the set in its last
+    bits; its first six bits say how frequent. place is at * 2**32 + n.
     """
 
     def ordered(batches):
@@ -135,24 +162,28 @@ def _prefixes(frame: DataFrame, text: str, frequencies: bytes, percent: int) ->
             shingle = np.concatenate(keys)
             set_id = np.repeat(np.array(ids, np.int64), places)
             level = (shingle >> np.uint64(58)).astype(np.int64)
-            spread = np.where(level > HOT, set_id & ((np.int64(1) << np.maximum(level - HOT, 0)) - 1), 0)
-            part = shingle ^ (spread.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            at = np.concatenate([np.arange(p) for p in places])
-            columns = [part.view(np.int64), shingle.view(np.int64), set_id, np.repeat(np.array(sizes, np.int32), places), at.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["part", "shingle", "set_id", "n", "at"])
+            part = shingle.view(np.int64) ^ (set_id & ((np.int64(1) << np.maximum(level - HOT, 0)) - 1))
+            at = np.concatenate([np.arange(p, dtype=np.int64) for p in places])
+            place = at << 32 | np.repeat(np.array(sizes, np.int64), places)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part, set_id, place)], names=["part", "set_id", "place"])
+
+    return frame.select(text).mapInArrow(ordered, "part long, set_id long, place long")
 
-    return frame.select(text).mapInArrow(ordered, "part long, shingle long, set_id long, n int, at int")
 
+def _level(part: Column) -> Column:
+    return F.shiftrightunsigned(part, 58).cast("int")
 
-def _needed(n: Column, m: Column, percent: int) -> Column:
-    """How many shingles sets of n and m must share: the least s with 100 * s >= percent * (n + m - s)."""
-    return F.ceil((n + m).cast("long") * percent / (100 + percent))
 
+def _shingle(part: Column, set_id: Column) -> Column:
+    """The shingle of a part: without the bits of the set."""
+    bits = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(_level(part) - HOT, F.lit(0))) - 1
+    return part.bitwiseXOR(set_id.bitwiseAND(bits))
 
-def _may_match(x: Callable[[str], Column], y: Callable[[str], Column], percent: int) -> Column:
-    """Length filter, and the place filter for a shingle at which two sets meet first."""
-    n, m = x("n").cast("long"), y("n").cast("long")
-    shared = F.least(n - x("at"), m - y("at"))
+
+def _may_match(x: Column, y: Column, percent: int) -> Column:
+    """Length filter, and the place filter for a shingle at which two sets meet first; x and y are their places."""
+    n, m = x.bitwiseAND(0xFFFFFFFF), y.bitwiseAND(0xFFFFFFFF)
+    shared = F.least(n - F.shiftright(x, 32), m - F.shiftright(y, 32))
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (shared * (100 + percent) >= (n + m) * percent)
 
 
@@ -210,7 +241,7 @@ def similar_documents(frame: DataFrame, key: str = "doc_id", text: str = "text",
     Other columns are left out; an empty table gives an empty one.
     """
     described = saved(_described(frame, key, text))
-    docs = described.where("bucket is null").select("doc_id", "set_id", "n", "parts")
+    docs = described.where("block is null").select("doc_id", "set_id", "n", "parts")
     sets = saved(
         docs.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("parts").alias("parts"))
     )
@@ -244,40 +275,40 @@ def keep_one(frame: DataFrame, key: str = "doc_id", text: str = "text", percent:
 def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percent: int) -> DataFrame:
     """node, component of all classes that are linked with another one."""
     dealt = rows.repartition("part")
-    place = F.struct("at", "n", "set_id")
-    per_part = dealt.groupBy("part").agg(
-        F.min(place).alias("first"), F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("shingle").alias("shingle")
+    of_part = dealt.groupBy("part").agg(
+        F.min(F.struct("place", "set_id")).alias("first"), F.min("set_id").alias("low"), F.max("set_id").alias("high")
     )
     # A class alone in one part of a frequent shingle may share it with classes in the other parts.
-    dealt_out = F.shiftrightunsigned("shingle", 58) > HOT
-    shared = per_part.where((F.col("low") != F.col("high")) | dealt_out).select("part", "first")
-    met = dealt.join(shared, "part").select("part", "shingle", "set_id", "n", "at", "first")
-    met = saved(met.dropDuplicates(["part", "set_id"]))
-
-    of_shingle = met.where(dealt_out).groupBy("shingle").agg(F.min("first").alias("top"))
-    parts = met.where(dealt_out).select("shingle", "first").distinct()
-    across = parts.join(of_shingle, "shingle").select("shingle", F.col("first.*"), F.col("top").alias("first"))
-    near = met.select("shingle", "set_id", "n", "at", "first").unionByName(across.select("shingle", "set_id", "n", "at", "first"))
-    near = near.where(F.col("set_id") != F.col("first.set_id")).where(
-        _may_match(F.col, lambda c: F.col(f"first.{c}"), percent)
-    )
-    tried = near.groupBy("set_id", F.col("first.set_id").alias("other")).agg(F.count(F.lit(1)).alias("times"))
-    best = tried.groupBy("set_id").agg(F.max(F.struct("times", "other")).alias("best"))
+    dealt_out = _level(F.col("part")) > HOT
+    shared = of_part.where((F.col("low") != F.col("high")) | dealt_out).select("part", "first")
+    met = saved(dealt.join(shared, "part").dropDuplicates(["part", "set_id"]))
+
+    own = met.where(dealt_out).select(_shingle(F.col("part"), F.col("set_id")).alias("shingle"), "first")
+    of_shingle = own.groupBy("shingle").agg(F.min("first").alias("top"))
+    across = own.distinct().join(of_shingle, "shingle").select(F.col("first.*"), F.col("top").alias("first"))
+    near = met.select("place", "set_id", "first").unionByName(across)
+    near = near.where(F.col("set_id") != F.col("first.set_id")).where(_may_match(F.col("place"), F.col("first.place"), percent))
+    # A set's rows are no more than its prefix: one exchange for both counts.
+    tried = near.select("set_id", F.col("first.set_id").alias("other")).repartition("set_id").groupBy("set_id", "other")
+    best = tried.agg(F.count(F.lit(1)).alias("times")).groupBy("set_id").agg(F.max(F.struct("times", "other")).alias("best"))
     a, b = F.least("set_id", "best.other").alias("a"), F.greatest("set_id", "best.other").alias("b")
     first_pairs = saved(best.select(a, b).distinct())
     first_links = saved(_verified(first_pairs, sets, frame, text, percent))
     first_found = saved(components(first_links))
 
-    placed = met.join(first_found.select(F.col("node").alias("set_id"), "component"), "set_id", "left").select(
-        "shingle", "set_id", "n", "at", F.coalesce("component", "set_id").alias("component")
+    component = first_found.select(F.col("node").alias("set_id"), "component")
+    placed = met.select("part", "set_id", "place").join(component, "set_id", "left").select(
+        _shingle(F.col("part"), F.col("set_id")).alias("shingle"), "set_id", "place", F.coalesce("component", "set_id").alias("component")
     )
+    # One exchange for the components of a shingle and for the rows of those of several.
+    placed = placed.repartition("shingle")
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     placed = saved(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
     x, y = placed.alias("x"), placed.alias("y")
     crossing = (
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.component") < F.col("y.component"))
-        & _may_match(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), percent)
+        & _may_match(F.col("x.place"), F.col("y.place"), percent)
     )
     a, b = F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")
     pairs = x.join(y, crossing).select(a, b).distinct()
