@@ -36,8 +36,9 @@ from tillroll.llm.storage import saved
 #: Counts in the table of frequencies, one byte each when sent to workers, and in each block it is added up in.
 BUCKET_BITS = 20
 BLOCK_BITS = 14
-#: Parts of the shingle space in which the suffix filter counts.
-PARTS = 64
+#: Parts of the shingle space in which the suffix filter counts, in powers of two: one or two shingles each, within these bounds.
+LEAST_PART_BITS = 4
+MOST_PART_BITS = 12
 #: Shingles counted 2**HOT times or more above the usual are dealt out by class as well.
 HOT = 11
 #: Bits of the set of classes to be verified, as sent to workers.
@@ -87,9 +88,10 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
                     parts.append(None)
                     continue
                 ids.append(_set_id(hashes))
-                counts = np.bincount(hashes >> np.uint64(58), minlength=PARTS)
+                bits = min(max(len(hashes).bit_length() - 1, LEAST_PART_BITS), MOST_PART_BITS)
+                counts = np.bincount(hashes >> np.uint64(64 - bits), minlength=1 << bits)
                 # No bound for a set too large for small counts: the suffix filter lets it pass.
-                parts.append(counts.astype(np.int16) if counts.max() < 1 << 15 else None)
+                parts.append(counts.astype(np.uint8).tobytes() if counts.max() < 1 << 8 else None)
                 if ids[-1] not in met:
                     met.add(ids[-1])
                     new.append(hashes)
@@ -100,7 +102,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
                 batch.column("doc_id"),
                 pa.array(ids, pa.int64()),
                 pa.array(sizes, pa.int64()),
-                pa.array(parts, pa.list_(pa.int16())),
+                pa.array(parts, pa.binary()),
                 pa.nulls(len(ids), pa.int32()),
                 pa.nulls(len(ids), pa.binary()),
             ]
@@ -108,7 +110,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
         blocks = seen.reshape(-1, 1 << BLOCK_BITS)
         held = np.flatnonzero(blocks.any(axis=1))
         if len(held):
-            columns = [pa.nulls(len(held), t) for t in (arrow_type, pa.int64(), pa.int64(), pa.list_(pa.int16()))]
+            columns = [pa.nulls(len(held), t) for t in (arrow_type, pa.int64(), pa.int64(), pa.binary())]
             counts = pa.array([_packed(blocks[k]) for k in held], pa.binary())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(held.astype(np.int32)), counts], names=names)
 
@@ -116,7 +118,7 @@ def _described(frame: DataFrame, key: str, text: str) -> DataFrame:
     arrow_type = pa.string() if kind == "string" else pa.int32() if kind == "int" else pa.int64()
     if kind not in ("string", "int", "bigint"):
         raise ValueError(f"Keys must be string, int or bigint, not {kind}.")
-    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts array<smallint>, block int, counts binary")
+    return own.mapInArrow(describe, f"doc_id {kind}, set_id long, n long, parts binary, block int, counts binary")
 
 
 def _frequencies(described: DataFrame) -> bytes:
@@ -187,18 +189,31 @@ def _may_match(x: Column, y: Column, percent: int) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (shared * (100 + percent) >= (n + m) * percent)
 
 
+def _not_bounded_away(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n_a, n_b) of which parts_a and parts_b don't say that they share too little."""
+
+    def bounded(batches):
+        for batch in batches:
+            needed = (batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()) * percent
+            keep = np.ones(len(needed), bool)
+            for row, sides in enumerate(zip(batch.column("parts_a").to_pylist(), batch.column("parts_b").to_pylist(), strict=True)):
+                if None not in sides:
+                    fewer = min(map(len, sides))
+                    x, y = (np.frombuffer(side, np.uint8).reshape(fewer, -1).sum(axis=1, dtype=np.int64) for side in sides)
+                    keep[row] = np.minimum(x, y).sum() * (100 + percent) >= needed[row]
+            yield batch.select(names).filter(pa.array(keep))
+
+    names = ["a", "b", "n_a", "n_b"]
+    return pairs.select(*names, "parts_a", "parts_b").mapInArrow(bounded, "a long, b long, n_a long, n_b long")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are similar enough, by suffix filter and then by their whole sets."""
-    spark = frame.sparkSession
     described = pairs
     for side in ("a", "b"):
         own = sets.select(F.col("set_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("parts").alias(f"parts_{side}"))
         described = described.join(own, side)
-    most = F.aggregate(
-        F.zip_with("parts_a", "parts_b", lambda p, q: F.least(p, q)), F.lit(0).cast("long"), lambda total, x: total + x
-    )
-    enough = most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
-    left = saved(described.where(F.coalesce(enough, F.lit(True))).select("a", "b", "n_a", "n_b"))
+    left = saved(_not_bounded_away(described, percent))
     # A bit for each class to be read again; others with that bit are read as well and not joined.
     bits = (1 << WANTED_BITS) - 1
     wanted = left.select(F.explode(F.array("a", "b")).alias("id")).select(F.col("id").bitwiseAND(bits).alias("bit")).distinct()
