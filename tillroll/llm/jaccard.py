@@ -27,7 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillroll.llm.graph import components
 from tillroll.llm.shingles import shingle_sets, sliced
@@ -41,6 +41,8 @@ LEAST_PART_BITS = 4
 MOST_PART_BITS = 12
 #: Shingles counted 2**HOT times or more above the usual are dealt out by class as well.
 HOT = 11
+#: Two classes don't meet again on a shingle if they share one of so many before it.
+BEFORE = 4
 #: Bits of the set of classes to be verified, as sent to workers.
 WANTED_BITS = 23
 
@@ -319,11 +321,15 @@ def _links(rows: DataFrame, sets: DataFrame, frame: DataFrame, text: str, percen
     placed = placed.repartition("shingle")
     mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     placed = saved(placed.join(mixed.select("shingle"), "shingle", "left_semi"))
+    # The first shingle that two classes share has none before it that they share, so that no pair is lost.
+    earlier = Window.partitionBy("set_id").orderBy("place").rowsBetween(-BEFORE, -1)
+    placed = placed.withColumn("before", F.collect_list("shingle").over(earlier))
     x, y = placed.alias("x"), placed.alias("y")
     crossing = (
         (F.col("x.shingle") == F.col("y.shingle"))
         & (F.col("x.component") < F.col("y.component"))
         & _may_match(F.col("x.place"), F.col("y.place"), percent)
+        & ~F.arrays_overlap("x.before", "y.before")
     )
     a, b = F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")
     pairs = x.join(y, crossing).select(a, b).distinct()
