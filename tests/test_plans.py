@@ -5,9 +5,12 @@ import re
 import pytest
 from samples import NINE_LINES, raw_frame
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from tillroll.operators.cleaning import transform_retail
 from tillroll.plans import anomalies, countries, customers, products, publish, reconciliation, sales
+from tillroll.schema import RAW_COLUMNS, RAW_TO_FACT
 
 FOLDER = "/root/testdata/sf0.001"
 EAGER = ("publish_roundtrip", "append_roundtrip", "append_duplicates", "search_published", "quarantine_roundtrip", "written_report", "user_sql", "load_job")
@@ -93,3 +96,22 @@ def test_quantiles_count_their_values_once(spark):
     final = plan_of(frame).split("== Initial Plan ==")[0]
     scans = re.findall(r"FileScan parquet \S*\[l_orderkey", final)
     assert len(scans) <= 2 and final.count("ReusedExchange") >= 2
+
+
+def test_texts_are_shuffled_by_their_own_join_only(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(entry.retail_lines(spark, FOLDER)).split("\n")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for key in ("l_suppkey", "l_partkey"):
+        (at,) = [i for i, operator in enumerate(plan) if f"Exchange hashpartitioning({key}#" in operator]
+        assert "p_name" not in plan[at + 1] and "n_name" not in plan[at + 1]
+
+
+def test_earlier_copies_cost_no_further_exchange(spark, fact):
+    names = {name: raw for raw, name in RAW_TO_FACT.items() if raw in RAW_COLUMNS}
+    earlier = fact.withColumnsRenamed(names).select(*RAW_COLUMNS, F.lit(1).cast("bigint").alias("earlier"))
+    marked = transform_retail(raw_frame(spark, NINE_LINES), earlier=earlier)
+    assert plan_of(marked).count("Exchange ") == 1 and "Join" not in plan_of(marked)
+    assert {(r.occurrence, r.is_duplicate) for r in marked.collect()} == {(2, True), (3, True)}

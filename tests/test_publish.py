@@ -268,3 +268,16 @@ def test_a_view_of_the_user_is_left_to_them(spark, table):
         assert spark.table("retail_transactions").columns == ["id"]
     finally:
         spark.catalog.dropTempView("retail_transactions")
+
+
+def test_segments_are_compressed(spark, table):
+    publish.load_raw(raw_frame(spark, LOADED), table)
+    files = list(Path(table).rglob("*.parquet"))
+    assert files and all(".zstd." in file.name for file in files if file.is_file())
+
+
+def test_given_dates_spare_looking_for_them(spark, table):
+    days = [only(spark.sql(f"SELECT TIMESTAMP_NTZ '2010-12-{d} 00:00:00' AS d"))["d"] for d in ("01", "31")]
+    publish.load_transformed(transformed(spark), table)
+    publish.load_transformed(transformed(spark), table, full_refresh=False, dates=tuple(days))
+    assert publish.read_fact(spark, table).where("is_duplicate = 0").count() == 4
