@@ -98,6 +98,17 @@ def test_quantiles_count_their_values_once(spark):
     assert len(scans) <= 2 and final.count("ReusedExchange") >= 2
 
 
+@pytest.mark.parametrize("name", ["untidy_lines", "untidy_not_null_violations", "validation_summary"])
+def test_what_reads_text_is_compiled(spark, name):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().debug().codegenToSeq()
+        # The JVM only interprets methods of more bytes.
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_texts_are_shuffled_by_their_own_join_only(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
