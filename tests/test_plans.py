@@ -72,6 +72,14 @@ def test_ranked_products_are_joined_to_the_lines_by_broadcast(fact):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("FileScan") == 2
 
 
+@pytest.mark.parametrize("name", ["products_display", "top_products_quantity", "top_products_revenue"])
+def test_lines_are_derived_once_for_ranking_and_names(spark, name):
+    frame = entry.retail_queries()[name](spark, FOLDER)
+    frame.collect()
+    final = plan_of(frame).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \S*\[l_orderkey", final)) == 1 and "ReusedExchange" in final
+
+
 def test_cleaning_shuffles_once(spark):
     frame = transform_retail(raw_frame(spark, NINE_LINES))
     frame.collect()
