@@ -290,6 +290,17 @@ def test_lines_without_derived_columns_or_of_other_types_are_published_as_before
     assert {(r.transaction_category, r.is_zero_price) for r in fact.collect()} == {("UNKNOWN", 0)}
 
 
+@pytest.mark.parametrize("quarantine_limit", [None, 0])
+def test_lines_of_a_file_are_sorted_by_time_and_invoice(spark, table, quarantine_limit):
+    rows = [line(str(n % 40), stock=str(n), date=f"2011-05-{1 + n * 7 % 20:02d} 10:00:00") for n in range(200)]
+    publish.load_raw(raw_frame(spark, rows), table, quarantine_limit=quarantine_limit)
+    files = publish.read_fact(spark, table).inputFiles()
+    assert files
+    for file in files:
+        found = [(r.invoice_date, r.invoice_no) for r in spark.read.parquet(file).collect()]
+        assert found == sorted(found)
+
+
 def test_users_sql_runs_over_the_published_fact(spark, table):
     publish.load_transformed(transformed(spark), table)
     count = "SELECT COUNT(*) AS n FROM retail_transactions WHERE is_normal_sale = 1 AND country = "
