@@ -199,6 +199,36 @@ def test_blocks_of_a_hot_line_are_spread_before_their_copies_are_written_out(spa
     assert found.select("occurrence").distinct().count() == 300_000
 
 
+@pytest.mark.parametrize("quarantine", [False, True])
+def test_lines_by_time_are_marked_as_others_are(spark, quarantine):
+    rows = [*EDGE_CASES, *NINE_LINES, *NINE_LINES[:4]] + [line(None, None, None, None, None, None, None, None)] * 2
+    rows += [line("copies", description=None)] * 3 + [line("copies", description="UNSPECIFIED")] + [line("soon", date="soon")] * 2
+    frame = raw_frame(spark, rows)
+    wanted, found = [transform_retail(frame, quarantine=quarantine, by_time=by_time) for by_time in (False, True)]
+    assert found.schema == wanted.schema
+    assert Counter(map(str, found.collect())) == Counter(map(str, wanted.collect())) and found.count() == len(rows)
+
+
+def test_lines_by_time_are_in_order_from_task_to_task_and_moved_once(spark):
+    rows = [line(str(n % 7), stock=str(n), date=f"2011-{1 + n % 12:02d}-15 10:00:00") for n in range(600)]
+    rows += [line("large", stock=str(n), date="2012-01-01 10:00:00") for n in range(600)] + [line("large")] * 50
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = transform_retail(raw_frame(spark, rows), by_time=True)
+        placed = found.select(F.spark_partition_id().alias("task"), *RAW_COLUMNS).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = sorted({r.task for r in placed})
+    spans = [(min(r.InvoiceDate for r in placed if r.task == t), max(r.InvoiceDate for r in placed if r.task == t)) for t in tasks]
+    assert len(placed) == len(rows) and len(tasks) >= 6
+    assert all(earlier[1] <= later[0] for earlier, later in zip(spans, spans[1:]))
+    # An invoice is parted, copies of a line are not.
+    assert len({r.task for r in placed if r.InvoiceNo == "large" and r.InvoiceDate.year == 2012}) > 1
+    assert len({r.task for r in placed if r.InvoiceNo == "large" and r.InvoiceDate.year == 2011}) == 1
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == plan.count("rangepartitioning(line") == 1
+
+
 def test_a_product_beyond_its_type_is_null_and_stops_a_load(spark):
     lines = [text_line(Quantity="9" * 18, UnitPrice="9" * 11), text_line(Quantity="9" * 12, UnitPrice="99999.0")]
     rows = calculate_line_revenue(cleaned(spark, lines)).collect()

@@ -301,6 +301,41 @@ def test_lines_of_a_file_are_sorted_by_time_and_invoice(spark, table, quarantine
         assert found == sorted(found)
 
 
+def test_lines_by_time_are_written_where_they_are(spark, table, monkeypatch):
+    stage, plans = publish._stage, []
+
+    def staged(fact, table):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        return stage(fact, table)
+
+    monkeypatch.setattr(publish, "_stage", staged)
+    frame = raw_frame(spark, [*LOADED, *LOADED[:2], line("may", date="2011-05-01 10:00:00")])
+    wanted = {tuple(r) for r in to_fact(transform_retail(frame)).drop("loaded_at").collect()}
+    publish.load_transformed(transform_retail(frame, by_time=True), table, by_time=True)
+    assert {tuple(r) for r in publish.read_fact(spark, table).drop("loaded_at").collect()} == wanted
+    # Lines that are added meet the earlier ones, and are gathered after that.
+    publish.load_transformed(transform_retail(frame, by_time=True), table, False, by_time=True)
+    fact = publish.read_fact(spark, table)
+    assert fact.count() == fact.select("line_id").distinct().count() == 16 and fact.where("is_duplicate = 0").count() == 5
+    assert [plan.count("REBALANCE") for plan in plans] == [0, 1] and plans[0].count("Exchange") == 1
+
+
+def test_users_sql_query_moves_whole_lines_once(spark, monkeypatch):
+    import __spark_entry__ as entry
+
+    stage, plans = publish._stage, []
+
+    def staged(fact, table):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        return stage(fact, table)
+
+    monkeypatch.setattr(publish, "_stage", staged)
+    assert entry.queries()["user_sql"](spark, "/root/testdata/sf0.001").count() == 25
+    # Exchanges after the line items, stripped and typed, have become lines.
+    whole = plans[0].split("Generate explode(CASE WHEN")[0]
+    assert len(plans) == 1 and whole.count("Exchange") == 1
+
+
 def test_users_sql_runs_over_the_published_fact(spark, table):
     publish.load_transformed(transformed(spark), table)
     count = "SELECT COUNT(*) AS n FROM retail_transactions WHERE is_normal_sale = 1 AND country = "
