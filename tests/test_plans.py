@@ -128,6 +128,19 @@ def test_texts_are_shuffled_by_their_own_join_only(spark):
         assert "p_name" not in plan[at + 1] and "n_name" not in plan[at + 1]
 
 
+def test_line_items_meet_their_orders_last_and_move_narrow(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(entry.retail_lines(spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # From the top: nations, then orders, then parts.
+    at = [plan.index(f"Exchange hashpartitioning({key}#") for key in ("nation", "l_orderkey", "l_partkey", "l_suppkey")]
+    assert at == sorted(at)
+    moved = plan[at[1]:at[2]].split("Project [")[1].split("]")[0]
+    assert "returned" in moved and "l_returnflag" not in moved and "l_suppkey" not in moved
+
+
 def test_earlier_copies_cost_no_further_exchange(spark, fact):
     names = {name: raw for raw, name in RAW_TO_FACT.items() if raw in RAW_COLUMNS}
     earlier = fact.withColumnsRenamed(names).select(*RAW_COLUMNS, F.lit(1).cast("bigint").alias("earlier"))

@@ -320,6 +320,56 @@ def test_lines_by_time_are_written_where_they_are(spark, table, monkeypatch):
     assert [plan.count("REBALANCE") for plan in plans] == [0, 1] and plans[0].count("Exchange") == 1
 
 
+@pytest.mark.parametrize("load", ["transformed"])
+def test_added_lines_meet_each_other_and_earlier_ones_at_once(spark, table, monkeypatch, load):
+    stage, plans = publish._stage, []
+
+    def staged(fact, table):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        return stage(fact, table)
+
+    def add(rows):
+        frame = raw_frame(spark, rows)
+        if load == "raw":
+            return publish.load_raw(frame, table, False, by_time=True)
+        return publish.load_transformed(lambda earlier: transform_retail(frame, earlier=earlier, by_time=True), table, False, by_time=True)
+
+    monkeypatch.setattr(publish, "_stage", staged)
+    first, second = [*LOADED, LOADED[0]], [*LOADED[:3], line("may", date="2011-05-01 10:00:00"), line("may", date="2011-05-01 10:00:00")]
+    assert add(first)["duplicates"] == 2 and add(second)["duplicates"] == 4 and add(second)["duplicates"] == 5
+    assert [plan.count("REBALANCE") for plan in plans] == [0, 0, 0] and [plan.count("Exchange") for plan in plans] == [1, 1, 1]
+    fact = publish.read_fact(spark, table)
+    assert fact.count() == fact.select("line_id").distinct().count() == 16
+    other = f"{table}-other"
+    for rows in (first, second, second):
+        publish.load_raw(raw_frame(spark, rows), other, False)
+    assert sorted(map(tuple, fact.drop("loaded_at").collect())) == sorted(map(tuple, publish.read_fact(spark, other).drop("loaded_at").collect()))
+
+
+def test_a_function_is_asked_again_if_another_load_comes_first(spark, table, monkeypatch):
+    publish.load_raw(raw_frame(spark, LOADED[:1]), table)
+    Interleaved(monkeypatch, lambda: publish.load_raw(raw_frame(spark, LOADED[:2]), table, False))
+    publish.load_transformed(lambda earlier: transform_retail(raw_frame(spark, LOADED), earlier=earlier, by_time=True), table, False, by_time=True)
+    fact = publish.read_fact(spark, table)
+    assert fact.count() == fact.select("line_id").distinct().count() == 8 and fact.where("is_duplicate = 0").count() == 4
+
+
+@pytest.mark.parametrize("name", ["append_roundtrip"])
+def test_lines_that_are_loaded_twice_are_derived_once(spark, monkeypatch, name):
+    import __spark_entry__ as entry
+
+    stage, derive, plans, derived = publish._stage, entry.retail_lines, [], []
+
+    def staged(fact, table):
+        plans.append(fact._jdf.queryExecution().executedPlan().toString())
+        return stage(fact, table)
+
+    monkeypatch.setattr(publish, "_stage", staged)
+    monkeypatch.setattr(entry, "retail_lines", lambda *args: derived.append(args) or derive(*args))
+    assert entry.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(derived) == 1 and [plan.count("Exchange") for plan in plans] == [1, 1]
+
+
 @pytest.mark.parametrize("name", ["user_sql", "publish_roundtrip", "append_roundtrip"])
 def test_a_first_load_moves_whole_lines_once(spark, monkeypatch, name):
     import __spark_entry__ as entry
