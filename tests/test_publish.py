@@ -320,7 +320,7 @@ def test_lines_by_time_are_written_where_they_are(spark, table, monkeypatch):
     assert [plan.count("REBALANCE") for plan in plans] == [0, 1] and plans[0].count("Exchange") == 1
 
 
-@pytest.mark.parametrize("load", ["transformed"])
+@pytest.mark.parametrize("load", ["raw", "transformed"])
 def test_added_lines_meet_each_other_and_earlier_ones_at_once(spark, table, monkeypatch, load):
     stage, plans = publish._stage, []
 
@@ -354,7 +354,7 @@ def test_a_function_is_asked_again_if_another_load_comes_first(spark, table, mon
     assert fact.count() == fact.select("line_id").distinct().count() == 8 and fact.where("is_duplicate = 0").count() == 4
 
 
-@pytest.mark.parametrize("name", ["append_roundtrip"])
+@pytest.mark.parametrize("name", ["append_roundtrip", "append_duplicates"])
 def test_lines_that_are_loaded_twice_are_derived_once(spark, monkeypatch, name):
     import __spark_entry__ as entry
 
