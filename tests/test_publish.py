@@ -7,7 +7,7 @@ from samples import LOADED, TEXT_SCHEMA, line, only, raw_frame
 from pyspark.sql import functions as F
 
 from tillroll.errors import ConcurrentLoadError, DataQualityError, FactNotPublishedError
-from tillroll.operators.cleaning import to_fact, transform_retail
+from tillroll.operators.cleaning import classify_transactions, to_fact, transform_retail
 from tillroll.operators.filters import ReportFilter
 from tillroll.plans import publish, sales
 from tillroll.schema import FACT_SCHEMA
@@ -202,6 +202,37 @@ def test_a_search_in_the_dictionary_finds_what_a_search_in_the_lines_does(spark,
     assert sorted(r.line_id for r in found.collect()) == sorted(r.line_id for r in fact.where(where.predicate()).collect())
 
 
+@pytest.mark.parametrize("load", ["raw", "function", "transformed"])
+def test_a_search_finds_copies_whose_pair_stands_with_another_segment(spark, table, load):
+    def add(rows):
+        frame = raw_frame(spark, rows)
+        if load == "raw":
+            publish.load_raw(frame, table, False)
+        elif load == "function":
+            publish.load_transformed(lambda earlier: transform_retail(frame, earlier=earlier), table, False)
+        else:
+            publish.load_transformed(transform_retail(frame), table, False)
+
+    new = [line("x", stock="9", description="Lantern, red")] * 2
+    add([*LOADED, LOADED[0]])
+    add([*LOADED, *new])
+    fact = publish.read_fact(spark, table)
+    first, second = [spark.read.parquet(publish._products_path(table, x)) for x in publish.current_version(spark, table).segments]
+    known = {tuple(r) for r in fact.select("stock_code", "description").distinct().collect()}
+    # Lines that are transformed already may be called duplicates without a copy anywhere.
+    assert {tuple(r) for r in second.collect()} == (known if load == "transformed" else {("9", "Lantern, red")})
+    assert {tuple(r) for r in first.unionAll(second).collect()} == known
+    for search in ("lantern", LOADED[0][2], "9"):
+        where = ReportFilter("2010-12-01", "2011-12-31", search_query=search)
+        found = publish.search_fact(spark, table, where)
+        assert sorted(r.line_id for r in found.collect()) == sorted(r.line_id for r in fact.where(where.predicate()).collect()) != []
+
+
+def test_duplicates_without_a_copy_are_found_by_a_search(spark, table):
+    publish.load_transformed(classify_transactions(transformed(spark).withColumn("is_duplicate", F.lit(True))), table)
+    assert publish.search_fact(spark, table, ReportFilter("2010-12-01", "2011-12-31", search_query=LOADED[0][2])).count() > 0
+
+
 def test_old_segments_go(spark, table):
     for _ in range(3):
         publish.load_raw(raw_frame(spark, LOADED), table)
